@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     aggregates,
     joins,
+    tables,
     windows,
 )
 from .registry import REGISTRY, Query

@@ -178,12 +178,21 @@ def scalar_beside_scalar(t):
     return orders.withColumn("_k", one).join(lines.withColumn("_k", one), "_k").drop("_k")
 
 
+def two_states(t: Tables):
+    """Orders before and after a change: old years dropped, a new year added, urgent prices raised."""
+    before = t.orders.where("o_orderdate < timestamp_ntz'2001-01-01'")
+    after = t.orders.where("o_orderdate >= timestamp_ntz'1996-01-01'").withColumn(
+        "o_totalprice", F.expr("if(o_orderpriority = '1-URGENT', o_totalprice + 1, o_totalprice)")
+    )
+    return before, after
+
+
 @query(
     "state_diff",
     "J10",
-    """WITH a AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 3),
-    b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus
-          FROM orders WHERE o_orderkey % 10 <> 7)
+    """WITH a AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
+    b AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus
+          FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
     SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey,
       CASE WHEN a.o_orderkey IS NULL THEN 'added' WHEN b.o_orderkey IS NULL THEN 'removed'
            WHEN a.o_totalprice IS NOT DISTINCT FROM b.o_totalprice AND a.o_orderstatus IS NOT DISTINCT FROM b.o_orderstatus THEN 'same'
@@ -191,12 +200,9 @@ def scalar_beside_scalar(t):
     FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""",
 )
 def state_diff(t):
-    base = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
-    before = base.where("o_orderkey % 10 <> 3")
-    after = base.where("o_orderkey % 10 <> 7").withColumn(
-        "o_totalprice", F.expr("if(o_orderkey % 10 = 1, o_totalprice + 1, o_totalprice)")
-    )
-    return J.diff_keys(before, after, ["o_orderkey"])
+    columns = ["o_orderkey", "o_totalprice", "o_orderstatus"]
+    before, after = two_states(t)
+    return J.diff_keys(before.select(*columns), after.select(*columns), ["o_orderkey"])
 
 
 @query(
@@ -263,20 +269,17 @@ def union_distinct(t):
 @query(
     "except_both_ways",
     "U3",
-    """WITH a AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 10 <> 3),
-    b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 1 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
-          FROM orders WHERE o_orderkey % 10 <> 7)
+    """WITH a AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2001-01-01'),
+    b AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice
+          FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01')
     SELECT DISTINCT o_orderkey FROM ((SELECT * FROM a EXCEPT SELECT * FROM b) UNION (SELECT * FROM b EXCEPT SELECT * FROM a))""",
 )
 def except_both_ways(t):
     from ..operators.setops import changed_rows
 
-    base = t.orders.select("o_orderkey", "o_totalprice")
-    before = base.where("o_orderkey % 10 <> 3")
-    after = base.where("o_orderkey % 10 <> 7").withColumn(
-        "o_totalprice", F.expr("if(o_orderkey % 10 = 1, o_totalprice + 1, o_totalprice)")
-    )
-    return changed_rows(before, after).select("o_orderkey").distinct()
+    columns = ["o_orderkey", "o_totalprice"]
+    before, after = two_states(t)
+    return changed_rows(before.select(*columns), after.select(*columns)).select("o_orderkey").distinct()
 
 
 @query(

@@ -13,6 +13,8 @@ TABLES = (
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
+_own_dirs: dict[str, str] = {}
+
 
 def local_session(app: str = "millrace", cores: str = "8") -> SparkSession:
     """A session for tests and the bench. On a cluster the caller brings its own."""
@@ -45,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    own = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="millrace-")
+    return _own_dirs[app]
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
