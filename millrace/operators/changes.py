@@ -166,7 +166,12 @@ def expire(log: DataFrame, keys: list[str], before: int) -> DataFrame:
 
     States from ``before`` on can still be read; older ones cannot."""
     old = log.where(F.col("_commit_version") <= before)
-    marks = F.broadcast(old.agg(F.max("_commit_timestamp").alias("_commit_timestamp")))  # one row
-    snapshot = as_of(old, keys).withColumn("_commit_version", F.lit(before).cast("bigint"))
-    snapshot = snapshot.withColumn("_change_type", F.lit("insert")).join(marks)
+    stamp = old.agg(F.max("_commit_timestamp")).first()[0]
+    snapshot = as_of(old, keys).withColumns(
+        {
+            "_change_type": F.lit("insert"),
+            "_commit_version": F.lit(before).cast("bigint"),
+            "_commit_timestamp": F.lit(stamp),
+        }
+    )
     return snapshot.select(*log.columns).unionByName(log.where(F.col("_commit_version") > before))

@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     aggregates,
     joins,
+    rows,
     tables,
     windows,
 )

@@ -150,8 +150,8 @@ def agg_min_max_first(t):
 @query(
     "agg_collect",
     "A9",
-    """SELECT o_custkey, 0 AS chunk, list(o_orderkey ORDER BY o_orderdate, o_orderkey) AS order_keys,
-    list_sort(list_distinct(list(o_orderpriority))) AS priorities FROM orders GROUP BY o_custkey""",
+    """SELECT o_custkey, 0 AS chunk, string_agg(o_orderkey, ',' ORDER BY o_orderdate, o_orderkey) AS order_keys,
+    array_to_string(list_sort(list_distinct(list(o_orderpriority))), ',') AS priorities FROM orders GROUP BY o_custkey""",
 )
 def agg_collect(t):
     lists = A.collect_chunks(
@@ -159,7 +159,12 @@ def agg_collect(t):
     )
     # a set is bounded by the distinct priorities, not by the orders
     sets = t.orders.groupBy("o_custkey").agg(F.sort_array(F.collect_set("o_orderpriority")).alias("priorities"))
-    return lists.join(sets, "o_custkey")
+    return lists.join(sets, "o_custkey").select(
+        "o_custkey",
+        "chunk",
+        F.concat_ws(",", F.col("order_keys").cast("array<string>")).alias("order_keys"),
+        F.concat_ws(",", "priorities").alias("priorities"),
+    )
 
 
 STATUS = ["F", "O", "P"]

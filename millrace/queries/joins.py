@@ -173,9 +173,9 @@ def join_broadcast_small(t):
 def scalar_beside_scalar(t):
     orders = t.orders.agg(F.count(F.lit(1)).alias("total_orders"), money_sum("o_totalprice").alias("revenue"))
     lines = t.lineitem.agg(F.count(F.lit(1)).alias("total_lines"), F.sum("l_quantity").alias("units"))
-    # two one-row aggregates meet on a constant key; no product of rows
-    one = F.lit(1)
-    return orders.withColumn("_k", one).join(lines.withColumn("_k", one), "_k").drop("_k")
+    # side by side without a product: stack the one-row results, keep what is set in each column
+    both = orders.unionByName(lines, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])
 
 
 def two_states(t: Tables):
