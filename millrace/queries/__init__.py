@@ -2,8 +2,10 @@
 
 from . import (  # noqa: F401
     aggregates,
+    files,
     joins,
     rows,
+    streams,
     tables,
     windows,
 )
