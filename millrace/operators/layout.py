@@ -62,10 +62,19 @@ def zorder(df: DataFrame, columns: list[str], parts: int, bits: int = 8) -> Data
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
     cuts = df.agg(*[F.percentile_approx(c, steps, 10_000).alias(f"c{i}") for i, c in enumerate(columns)]).first()
 
+    def at_or_below(bounds: Column, column: str) -> Column:
+        return F.size(F.filter(bounds, lambda b: b <= F.col(column)))
+
     def bucket(column: str, bounds: list) -> Column:
-        """Number of bounds at or below the value."""
-        literals = F.array(*[F.lit(v) for v in sorted(set(bounds))])
-        return F.size(F.filter(literals, lambda b: b <= F.col(column)))
+        """Number of bounds at or below the value, looked up in two steps of about 16."""
+        bounds = sorted(set(bounds))
+        if not bounds:
+            return F.lit(0)
+        step = math.ceil(math.sqrt(len(bounds)))
+        runs = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+        run = at_or_below(F.array(*[F.lit(r[0]) for r in runs]), column)
+        inside = F.element_at(F.array(*[F.array(*[F.lit(v) for v in r]) for r in runs]), F.greatest(run, F.lit(1)))
+        return F.when(run > 0, (run - 1) * step + at_or_below(inside, column)).otherwise(0)
 
     # buckets become columns of their own first, so that each is computed once per row
     df = df.withColumns({f"_b{i}": bucket(c, cuts[f"c{i}"] or []) for i, c in enumerate(columns)})

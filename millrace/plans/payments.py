@@ -29,14 +29,14 @@ UNKNOWN_MERCHANT = {"merchant_name": "Unknown Merchant", "merchant_country": "Un
 
 
 def bronze(lines: DataFrame, retry_window: str = "10 minutes") -> DataFrame:
-    """Payments from JSON lines; misfits are rescued and retries within the window dropped.
+    """Payments from JSON lines; misfits are rescued, retries within the window dropped.
 
-    A line without an id cannot be a known retry and is kept."""
+    A line without id or time cannot be a known retry: it bypasses the
+    deduplication, whose watermark would drop it."""
     rows = rescue_json(lines, SCHEMA)
-    # lines without id or time get one of their own, so they pass the deduplication
-    key = F.coalesce("txn_id", F.xxhash64("_rescued_data").cast("string"))
-    timed = rows.withColumns({"_id": key, "_at": F.coalesce("timestamp", F.lit("1970-01-01").cast("timestamp"))})
-    return stream_dedup_within(timed, ["_id"], "_at", retry_window).drop("_id", "_at")
+    known = "txn_id is not null and timestamp is not null"
+    once = stream_dedup_within(rows.where(known), ["txn_id"], "timestamp", retry_window)
+    return once.unionByName(rows.where(f"not ({known})"))
 
 
 def silver(payments: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from . import (  # noqa: F401
     aggregates,
     files,
     joins,
+    plans,
     rows,
+    star,
     streams,
     tables,
     windows,
