@@ -38,15 +38,12 @@ def scd2(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
     A changed current row is closed at ``effective`` and followed by a new
     version; a new key starts at version 1; everything else stays.  Running it
     again with the same source changes nothing.  ``source`` has one row per
-    key.  History rows take part in the join but cannot match, so one join
-    serves all cases."""
+    key, as have the current rows; history passes by without a shuffle."""
     attributes = [c for c in dim.columns if c in source.columns]
     fields = {f.name: f.dataType for f in dim.schema}
-    d = dim.withColumn("_in_d", F.lit(True)).alias("d")
+    d = dim.where("is_current").withColumn("_in_d", F.lit(True)).alias("d")
     s = source.withColumn("_in_s", F.lit(True)).alias("s")
-    current = reduce(
-        lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys], F.col("d.is_current")
-    )
+    same_key = reduce(lambda a, b: a & b, [F.col(f"d.{k}") == F.col(f"s.{k}") for k in keys])
     in_d, in_s = F.col("_in_d").isNotNull(), F.col("_in_s").isNotNull()
 
     def row(values: dict[str, Column], base: str | None) -> Column:
@@ -70,7 +67,8 @@ def scd2(dim: DataFrame, source: DataFrame, keys: list[str], tracked: list[str],
         .when(in_d, F.array(row({}, "d")))
         .otherwise(F.array(row(opened, None)))
     )
-    return d.join(s, current, "full_outer").select(F.explode(rows).alias("r")).select("r.*")
+    touched = d.join(s, same_key, "full_outer").select(F.explode(rows).alias("r")).select("r.*")
+    return dim.where("not is_current").unionByName(touched)
 
 
 def current(dim: DataFrame) -> DataFrame:

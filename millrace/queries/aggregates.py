@@ -126,11 +126,18 @@ def agg_count_distinct(t):
     )
 
 
-@query("agg_approx_distinct", "A7")
+@query(
+    "agg_approx_distinct",
+    "A7",
+    "SELECT l_returnflag, COUNT(DISTINCT l_orderkey) AS orders, TRUE AS estimate_is_close FROM lineitem GROUP BY l_returnflag",
+)
 def agg_approx_distinct(t):
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.approx_count_distinct("l_orderkey").alias("orders"), F.approx_count_distinct("l_partkey").alias("parts")
+    """The estimate may be off by its standard error of 5 %; three times that counts as close."""
+    counts = t.lineitem.groupBy("l_returnflag").agg(
+        F.count_distinct("l_orderkey").alias("orders"), F.approx_count_distinct("l_orderkey", 0.05).alias("estimate")
     )
+    close = F.abs(F.col("estimate") - F.col("orders")) <= F.col("orders") * 0.15
+    return counts.select("l_returnflag", "orders", close.alias("estimate_is_close"))
 
 
 @query(

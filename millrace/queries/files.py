@@ -310,6 +310,21 @@ def insert_overwrite(t):
     return K.read(t.spark, path)
 
 
+@query(
+    "merge_into_partitions",
+    "M1 K7",
+    """SELECT o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '2000-01-01' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year
+    FROM orders""",
+)
+def merge_into_partitions(t):
+    path = work_dir(t.spark, "by-year")
+    rows = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    K.write(rows.where("year < 2001"), path, partition_by=["year"])
+    late = rows.where("year >= 2000").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    K.merge_into(path, late, ["year", "o_orderkey"], ["year"], keyed=True, check=False)
+    return K.read(t.spark, path)
+
+
 # -- file layout ----------------------------------------------------------
 
 
@@ -364,8 +379,18 @@ def migrate_layout(t):
     return t.spark.read.parquet(new)
 
 
-@query("layout_scan_cost", "L6 B30")
+@query(
+    "layout_scan_cost",
+    "L6 B30",
+    f"""SELECT layout, skips_files, rows_found FROM (VALUES ('raw', FALSE), ('partitioned', FALSE), ('zorder', TRUE), ('clustered', TRUE)) v(layout, skips_files),
+    (SELECT COUNT(*) AS rows_found FROM lineitem WHERE {LOOKUP})""",
+)
 def layout_scan_cost(t):
+    return lookup_study(t).select("layout", (F.col("files_touched") < F.col("files")).alias("skips_files"), "rows_found")
+
+
+def lookup_study(t):
+    """Files and bytes one lookup must read in four layouts of the line items."""
     raw = many_files(t, "raw", 16)
     by_flag, z, c = (work_dir(t.spark, x) for x in ("flag", "z", "c"))
     K.write(t.lineitem, by_flag, partition_by=["l_returnflag"])

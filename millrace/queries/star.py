@@ -176,7 +176,7 @@ def star_gap_drivers(t):
     return S.gap_drivers(star(t), MONTH, BEFORE)
 
 
-WHAT_IF = """(SELECT product_key, product_id, product_name, ROUND(CAST(list_price AS DOUBLE), 2) AS list_price, CAST(unit_cost AS DOUBLE) AS uc, ROUND(CAST(list_price AS DOUBLE) * (1 - 15 / 100.0::DOUBLE), 2) AS discounted_price,
+WHAT_IF = """(SELECT product_key, product_id, product_name, ROUND(CAST(list_price AS DOUBLE), 2) AS list_price, CAST(unit_cost AS DOUBLE) AS uc, CAST(ROUND(list_price * CAST(0.85 AS DECIMAL(9,6)), 2) AS DOUBLE) AS discounted_price,
   CAST(SUM(quantity) AS DOUBLE) / 12.0::DOUBLE AS u, CAST(SUM(net_sales) AS DOUBLE) / 12.0::DOUBLE AS rv, CAST(SUM(gross_margin) AS DOUBLE) / 12.0::DOUBLE AS mg
   FROM fact JOIN dim_product USING (product_key) GROUP BY ALL)"""
 WHAT_IF_COLUMNS = """product_id, discounted_price, ROUND(u, 0) AS baseline_monthly_units, ROUND(u * (1 + 1.5::DOUBLE * 15 / 100.0::DOUBLE), 0) AS projected_monthly_units,

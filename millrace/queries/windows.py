@@ -176,5 +176,16 @@ def rank_in_group(t):
 )
 def qualify_filter(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    same_day = Window.partitionBy("o_custkey", "o_orderdate")
-    return W.qualify(rows, F.count(F.lit(1)).over(same_day), "w > 1").drop("o_orderdate")
+    counted = W.group_total(rows, ["o_custkey", "o_orderdate"], F.count(F.lit(1)), "w")
+    return counted.where("w > 1").drop("w", "o_orderdate")
+
+
+@query(
+    "qualify_rank",
+    "W14 W12",
+    "SELECT l_partkey, l_orderkey, l_quantity FROM lineitem QUALIFY RANK() OVER (PARTITION BY l_partkey ORDER BY l_quantity DESC) <= 2",
+)
+def qualify_rank(t):
+    rows = t.lineitem.select("l_partkey", "l_orderkey", "l_quantity")
+    by = Window.partitionBy("l_partkey").orderBy(F.desc("l_quantity"))
+    return W.qualify(rows, F.rank().over(by), "w <= 2")

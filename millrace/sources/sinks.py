@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.merge import UPSERT, merge
+
 
 class SchemaMismatch(ValueError):
     """A batch does not have the columns and types of its table."""
@@ -98,3 +100,27 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
     """Replace only the partitions that ``df`` has rows for."""
     df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def merge_into(path: str, source: DataFrame, on: list[str], partition_by: list[str], clauses=UPSERT, **options) -> None:
+    """Merge into a partitioned table, rewriting only the partitions the source touches.
+
+    The partition columns must be among ``on``, so that a key never moves to
+    another partition.  The values found in the source prune the read of the
+    table; all other partitions are neither read nor written."""
+    if not set(partition_by) <= set(on):
+        raise ValueError("partition columns must be part of the key")
+    spark = source.sparkSession
+    table = spark.read.parquet(path)
+    # one row per partition of the source: as many as folders will be written
+    touched = source.select(*partition_by).distinct().collect()
+    if not touched:
+        return
+    hit = F.lit(False)
+    for row in touched:
+        here = F.lit(True)
+        for c in partition_by:
+            here = here & F.col(c).eqNullSafe(F.lit(row[c]))
+        hit = hit | here
+    result = merge(table.where(hit), source, on, clauses, **options)
+    replace_partitions(result, path, partition_by)
