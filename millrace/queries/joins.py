@@ -110,7 +110,7 @@ def join_linked_pairs(t):
     QUALIFY ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY l_quantity DESC, l_linenumber, l_partkey, l_suppkey, l_extendedprice) = 1""",
 )
 def join_chain_best_line(t):
-    # the best line is picked before the dimensions are joined: fewer rows, narrower sort
+    # lines without a part do not count, so parts join first; the other joins see one line per order
     best = J.best_line(
         t.lineitem.join(t.part.select("p_partkey", "p_name", "p_brand"), F.col("p_partkey") == F.col("l_partkey")),
         ["l_orderkey"],
