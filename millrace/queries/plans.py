@@ -1,5 +1,7 @@
 """Layered tables, retail, payments, activity and sales on the driver tables."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..functions.measures import money
@@ -13,9 +15,11 @@ from ..plans import sales as L
 from ..session import work_dir
 from ..streaming.runner import stream_table
 from .joins import CUSTOMERS_SQL, customers
-from .registry import query
+from .registry import query as registered
 from .streams import appended, naive
 
+query = partial(registered, streaming=True)
+
 DEC = "CAST(SUM(CAST({0} AS DECIMAL(18,2))) AS DOUBLE)".format
 
 

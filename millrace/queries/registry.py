@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import table
+from ..streaming.runner import sized_state, state_partitions
 
 
 @dataclass(frozen=True)
@@ -32,15 +33,22 @@ class Tables:
         return table(self.spark, self.sf_dir, name)
 
 
-def query(name: str, covers: str, oracle: str | None = None):
-    """Register ``fn(t: Tables) -> DataFrame`` under ``name``."""
+def query(name: str, covers: str, oracle: str | None = None, streaming: bool = False):
+    """Register ``fn(t: Tables) -> DataFrame`` under ``name``.
+
+    A ``streaming`` query runs its streams inside ``fn``; their state is sized
+    to the tables."""
 
     def register(fn: Callable[[Tables], DataFrame]):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            if not streaming:
+                return fn(Tables(spark, sf_dir))
+            with sized_state(spark, state_partitions(spark, sf_dir)):
+                return fn(Tables(spark, sf_dir))
+
         if name in REGISTRY:
             raise ValueError(f"query {name!r} is registered twice")
-        REGISTRY[name] = Query(
-            name, tuple(covers.split()), lambda spark, sf_dir: fn(Tables(spark, sf_dir)), oracle
-        )
+        REGISTRY[name] = Query(name, tuple(covers.split()), run, oracle)
         return fn
 
     return register

@@ -1,5 +1,7 @@
 """Streaming queries: each runs to the end of the data and returns what its sink holds."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ..functions import payload as P
@@ -11,7 +13,9 @@ from ..streaming import joins as J
 from ..streaming import runner as R
 from ..streaming import windows as W
 from .joins import CUSTOMERS_SQL, customers
-from .registry import query
+from .registry import query as registered
+
+query = partial(registered, streaming=True)
 
 
 def events(t):

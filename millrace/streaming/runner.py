@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,9 @@ from ..operators.windows import top_n
 
 MODES = ("append", "update", "complete")
 
+#: Input that one state partition should serve.
+BYTES_PER_STATE = 64 * 1024 * 1024
+
 
 def checkpoint_path(root: str, name: str) -> str:
     """One checkpoint per query: two queries must never share one."""
@@ -32,6 +37,29 @@ def stream_table(
     return stream.withColumn(event_time, F.col(event_time).cast("timestamp")) if event_time else stream
 
 
+def state_partitions(spark: SparkSession, path: str) -> int:
+    """Number of state partitions for a stream over the files at ``path``.
+
+    A new query fixes this number in its checkpoint, and adaptive execution
+    does not correct it, so it should follow the data: each partition costs a
+    state store per batch.  It stays within what the session is set up for."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    size = files.agg(F.sum("length")).first()[0] or 0
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return min(max(math.ceil(size / BYTES_PER_STATE), 8), most)
+
+
+@contextmanager
+def sized_state(spark: SparkSession, partitions: int):
+    """Streams started inside keep their state in that many partitions."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def check_mode(mode: str, aggregated: bool, watermarked: bool) -> None:
     """Reject a mode the plan cannot have, before anything starts."""
     if mode not in MODES:
