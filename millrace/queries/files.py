@@ -334,7 +334,7 @@ def many_files(t, label, parts=24):
     return path
 
 
-LOOKUP = "l_partkey = 25 and l_suppkey = 7"
+LOOKUP = "l_partkey = 96 and l_suppkey = 7"
 
 
 @query("file_statistics", "L1", "SELECT CAST(24 AS BIGINT) AS files, TRUE AS has_bytes, COUNT(*) AS rows FROM lineitem")
@@ -397,4 +397,4 @@ def lookup_study(t):
     L.zorder(t.lineitem, ["l_partkey", "l_suppkey"], parts=16).write.parquet(z)
     L.write_clustered(t.lineitem, c, ["l_partkey", "l_suppkey"], parts=16)
     layouts = {"raw": raw, "partitioned": by_flag, "zorder": z, "clustered": c}
-    return L.scan_cost(t.spark, layouts, {"l_partkey": 25, "l_suppkey": 7})
+    return L.scan_cost(t.spark, layouts, {"l_partkey": 96, "l_suppkey": 7})

@@ -67,11 +67,11 @@ def bucket_orders(t):
 @query(
     "point_lookup",
     "P4",
-    "SELECT * FROM lineitem WHERE l_partkey = 25 AND l_suppkey = 7 AND l_returnflag = 'R' UNION ALL SELECT * FROM lineitem WHERE l_orderkey = 42 AND l_linenumber = 1",
+    "SELECT * FROM lineitem WHERE l_partkey = 96 AND l_suppkey = 7 UNION ALL SELECT * FROM lineitem WHERE l_orderkey = 42 AND l_linenumber = 1",
 )
 def point_lookup(t):
     line = t.lineitem
-    return line.where("(l_partkey = 25 and l_suppkey = 7 and l_returnflag = 'R') or (l_orderkey = 42 and l_linenumber = 1)")
+    return line.where("(l_partkey = 96 and l_suppkey = 7) or (l_orderkey = 42 and l_linenumber = 1)")
 
 
 @query(
