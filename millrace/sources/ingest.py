@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -30,6 +31,7 @@ def ingest_files(
     checkpoint: str,
     sink: str,
     evolution: str = "ignore",
+    since: str | None = None,
     **options,
 ) -> StructType:
     """Append the files that arrived since the last run with this checkpoint.
@@ -37,7 +39,9 @@ def ingest_files(
     ``evolution`` says what happens to columns missing from ``schema``:
     ``ignore`` drops them, ``add`` widens the schema (earlier rows read NULL),
     ``fail`` raises before anything is written, ``rescue`` (JSON only) keeps
-    them in ``_rescued_data``.  Returns the schema in use, to pass next time."""
+    them in ``_rescued_data``.  Looking for new columns reads the files once
+    more; ``since`` (a time of the last run) limits that to files modified
+    after it.  Returns the schema in use, to pass next time."""
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     if evolution == "rescue":
@@ -48,6 +52,8 @@ def ingest_files(
         reader = spark.read.options(**options)
         if fmt == "csv":
             reader = reader.option("inferSchema", True)
+        if since:
+            reader = reader.option("modifiedAfter", since)
         wide = merged(schema, reader.format(fmt).load(src).schema)
         if evolution == "fail" and len(wide) > len(schema):
             raise SchemaChanged(f"new columns: {[f.name for f in wide.fields[len(schema):]]}")
@@ -62,8 +68,10 @@ def new_files(spark: SparkSession, src: str, manifest: str) -> DataFrame:
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src).select("path")
     try:
         loaded = spark.read.schema("path string, load_id string").parquet(manifest)
-    except Exception:  # noqa: BLE001 - no manifest before the first load
-        return found
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # no manifest before the first load
+            return found
+        raise
     return found.join(loaded, "path", "left_anti")
 
 
