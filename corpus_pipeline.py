@@ -1,8 +1,67 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: classify, deduplicate, join near copies, mix, encode.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir); its result is written as Parquet and read again as the docs of the
+next one. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import byte_bpe, classifier, exact_dedup, mixing, ngram_join
+from millrace.session import pin, table
+
+
+def _same(a, b):
+    return a.eqNullSafe(b)
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that are probably of the best grade."""
+    model = classifier.train(docs, classifier.grade_labels(table(spark, sf_dir, "labels")), 3)
+    return classifier.select(docs, model)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each exact text."""
+    kept = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    keyed = docs.withColumn("_own", F.sha2(exact_dedup.without_space(), 256))
+    joined = keyed.join(kept, _same(F.col("doc_id"), F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
+    return joined.drop("_own")
+
+
+def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of each near-duplicate group that names it."""
+    found = ngram_join.near_duplicates(docs).where(_same(F.col("component_id"), F.col("doc_id")))
+    return docs.join(found.select(F.col("doc_id").alias("_id")).distinct(), _same(F.col("doc_id"), F.col("_id")), "left_semi")
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep a sample whose token weights follow the targets."""
+    return mixing.sample(docs, mixing.plan(docs)).where("_sampled").select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, and digests of them and of what they decode to."""
+    import public_tokenizers
+
+    return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality classifier", classify),
+    ("exact dedup", deduplicate),
+    ("n-gram Jaccard join", join_near),
+    ("mixing sources", mix),
+    ("byte-level BPE", encode),
+]
+#: Iterative fitting and BPE cannot be said in SQL; tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = pin(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

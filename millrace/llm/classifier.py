@@ -147,6 +147,21 @@ def train(docs: DataFrame, grades: DataFrame, classes: int, id_col: str = "doc_i
     return fit([np.frombuffer(a, np.int32) for _, a in at], np.array([g for g, _ in at], np.int64), classes)
 
 
+def select(docs: DataFrame, model: Ordinal, at_least: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, whose chance of the best grade is ``at_least``; a filter beside the scan."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def turn(batches):
+        known: dict[str, int] = {}
+        m = shared.value
+        for b in batches:
+            best = [m.tails(float(m.weights[features(t, known)].sum()))[-1] for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([x >= at_least for x in best], pa.bool_()))
+
+    return docs.mapInArrow(turn, docs.schema)
+
+
 def score(docs: DataFrame, model: Ordinal, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: the id, ``expected_grade`` and ``tails``, P(grade >= k) for k from 1 up.
 

@@ -13,6 +13,7 @@ from . import classifier as c2
 from . import exact_dedup as e4
 from . import licenses as l8
 from . import mixing as m3
+from . import ngram_join as n9
 from . import quality_rules as q7
 from . import recompression as r10
 from . import suffix_dedup as s5
@@ -86,6 +87,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l8.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@register("op9_ngram_join")
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return n9.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register("op10_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r10.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
