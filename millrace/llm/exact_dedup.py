@@ -78,7 +78,10 @@ def exact_dedup(
         .alias("group_size"),
         F.max("keep_id").alias("keep_id"),
     )
-    return keyed.drop("_text").join(single, _KEY).select(
+    # one column as key: both sides are then shuffled for the join alone, which lets Spark split a hot one
+    name = F.concat_ws(":", *_KEY)
+    answer = single.select(name.alias("_name"), "keep_id", "group_size")
+    return keyed.select("_id", "_digest", name.alias("_name")).join(answer, "_name").select(
         F.col("_id").alias(id_col),
         "keep_id",
         "group_size",
