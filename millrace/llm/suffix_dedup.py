@@ -91,6 +91,22 @@ RECORD = np.dtype(
 )
 
 
+def _pack(records: np.ndarray) -> bytes:
+    """Records by column, compressed: contexts are text and most numbers are small."""
+    raw = b"".join(np.ascontiguousarray(records[f]).tobytes() for f in RECORD.names)
+    return pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(block: bytes, n: int) -> np.ndarray:
+    raw, at = pa.decompress(block, n * RECORD.itemsize, codec="zstd", asbytes=True), 0
+    records = np.empty(n, RECORD)
+    for f in RECORD.names:
+        kind = RECORD[f]
+        records[f] = np.frombuffer(raw, kind, n, at)
+        at += n * kind.itemsize
+    return records
+
+
 def _contexts(t: pa.Table, answers: pa.Table, parts: int) -> np.ndarray:
     """The records of a bucket whose anchors occur in two documents, sorted by name."""
     names, rows = _names(t)
@@ -242,11 +258,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         r = _contexts(t, o, n)
         at = cuts(r["name"].astype(np.uint64), n)
         some = np.flatnonzero(at[1:] > at[:-1])
-        blocks = [r[at[i] : at[i + 1]].tobytes() for i in some.tolist()]
-        return pa.table([pa.array(some, pa.int32()), pa.array(np.full(len(some), bucket_of(t)), pa.int32()), pa.array(blocks, pa.binary())], schema=_NOTHING)
+        blocks = [_pack(r[at[i] : at[i + 1]]) for i in some.tolist()]
+        numbers = [some, np.full(len(some), bucket_of(t)), np.diff(at)[some]]
+        return pa.table([*[pa.array(x, pa.int32()) for x in numbers], pa.array(blocks, pa.binary())], schema=_NOTHING)
 
     def meet(t: pa.Table) -> pa.Table:
-        each = [np.frombuffer(b, RECORD) for b in t.column("_block").to_pylist()]
+        each = [_unpack(b, n) for b, n in zip(t.column("_block").to_pylist(), t.column("_n").to_pylist())]
         bucket = np.repeat(t.column("_b").to_numpy(), [len(e) for e in each])
         r = np.concatenate(each)
         del each
@@ -259,7 +276,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         blocks = [spans[order[a:b]].tobytes() for a, b in zip(begins.tolist(), ends.tolist())]
         return pa.table([pa.array(to, pa.int32()), pa.array(blocks, pa.binary())], names=["_b", "_spans"])
 
-    sent = dealt.groupBy("_b").cogroup(flags.groupBy("_b")).applyInArrow(send, "_part int, _b int, _block binary")
+    sent = dealt.groupBy("_b").cogroup(flags.groupBy("_b")).applyInArrow(send, "_part int, _b int, _n int, _block binary")
     spans = sent.groupBy("_part").applyInArrow(meet, "_b int, _spans binary")
     schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
     if with_text:
@@ -291,4 +308,4 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 SPAN = np.dtype([("row", "<u4"), ("start", "<u4"), ("length", "<u2")])
-_NOTHING = pa.schema([("_part", pa.int32()), ("_b", pa.int32()), ("_block", pa.binary())])
+_NOTHING = pa.schema([("_part", pa.int32()), ("_b", pa.int32()), ("_n", pa.int32()), ("_block", pa.binary())])
