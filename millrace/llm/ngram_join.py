@@ -14,8 +14,10 @@ from .rolling import LOWER, spans, windows, words
 
 #: Words in a shingle, and the similarity from which two documents are linked, in hundredths.
 SHINGLE, PERCENT = 4, 85
-#: Counters of the sketch that finds frequent shingles: 1 MB, whatever the corpus.
-COUNTERS = 1 << 17
+#: Counters of the sketch that finds frequent shingles, and their blocks: 4 MB, whatever the corpus.
+COUNTERS, BLOCKS = 1 << 20, 64
+#: Partners that a group meets before components are known; all others follow when they still matter.
+FIRST = 2
 CHUNK = 2 << 20
 
 
@@ -94,19 +96,32 @@ class JaccardJoin:
         size = self.size
 
         def turn(batches):
+            from pyspark import TaskContext
+
             count = np.zeros(COUNTERS, np.int64)
             for part in pieces(batches, ["_id", "_text"], "_text", CHUNK):
                 names, _ = shingles(part["_text"].to_pylist(), size)
-                count += np.bincount((names & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS)
-            some = np.flatnonzero(count)
-            for a in range(0, len(some), 1 << 14):
-                yield pa.RecordBatch.from_pydict({"at": pa.array(some[a : a + (1 << 14)], pa.int32()), "n": count[some[a : a + (1 << 14)]]})
-
-        found = self._texts(turn, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-        count = np.zeros(COUNTERS)
-        count[found["at"].to_numpy(np.int64)] = found["n"]
+                np.add.at(count, (names & np.uint64(COUNTERS - 1)).astype(np.int64), 1)
+            if count.any():
+                blocks = [x.tobytes() for x in np.split(count, BLOCKS)]
+                task = np.full(BLOCKS, TaskContext.get().partitionId() % 256, np.int32)
+                yield pa.RecordBatch.from_pydict({"block": np.arange(BLOCKS, dtype=np.int32), "salt": task, "n": blocks})
+
+        def add(t: pa.Table) -> pa.Table:
+            total = np.zeros(COUNTERS // BLOCKS, np.int64)
+            for block in t.column("n"):
+                total += np.frombuffer(block.as_buffer(), np.int64)
+            return t.slice(0, 1).set_column(2, "n", pa.array([total.tobytes()], pa.binary()))
+
+        schema = "block int, salt int, n binary"
+        # in two steps, so that no task adds up the blocks of all tasks
+        salted = self._texts(turn, schema).groupBy("block", "salt").applyInArrow(add, schema)
+        count = np.zeros((BLOCKS, COUNTERS // BLOCKS))
+        for row in salted.groupBy("block").applyInArrow(add, schema).collect():
+            count[row.block] = np.frombuffer(row.n, np.int64)
+        count = count.ravel()
         middle = np.median(count)
-        excess = np.maximum(count - middle - 6 * np.sqrt(middle + 1) - 8, 0)
+        excess = np.maximum(count - middle - 4 * np.sqrt(middle + 1) - 4, 0)
         return np.ceil(np.log2(1 + excess)).astype(np.int8)
 
     def _described(self) -> DataFrame:
@@ -162,7 +177,10 @@ class JaccardJoin:
         shared = pin(entries.where("before <> gid or after <> gid").drop("after"), "lists")
         classes = pin(self.classes, "classes")
         heads = classes.groupBy("gid").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("members"))
-        pairs = shared.where("before <> gid").where(self._near("n_before", "n")).select(F.least("before", "gid").alias("g"), F.greatest("before", "gid").alias("h")).distinct()
+        # groups that are alike are neighbours on many lists, others by chance on one
+        beside = shared.where("before <> gid").where(self._near("n_before", "n")).groupBy("gid", "before").agg(F.count(F.lit(1)).alias("times"))
+        place = F.row_number().over(Window.partitionBy("gid").orderBy(F.desc("times"), "before"))
+        pairs = beside.where("times > 1").withColumn("place", place).where(F.col("place") <= FIRST).select(F.col("gid").alias("g"), F.col("before").alias("h"))
         of = lambda c, to: heads.select(F.col("gid").alias(c), F.col("head").alias(to))
         groups = pairs.join(of("g", "x"), "g").join(of("h", "y"), "h").select("x", "y")
         inside = classes.join(heads.where("members > 1"), "gid").where("cid <> head").select(F.col("head").alias("x"), F.col("cid").alias("y"))
@@ -175,16 +193,28 @@ class JaccardJoin:
         lists = shared.select("token", "gid").distinct().join(member, "gid")
         mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
         open_ = lists.join(mixed, "token", "left_semi")
-        across = self._across(open_, "token")
-        beside = self._across(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "gid")
+        met = self._across(open_, "token").groupBy("x", "y").agg(F.count(F.lit(1)).alias("times"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
+        across = met.where(self._enough("times", "n_a", "n_b")).select("x", "y")
+        beside = self._across(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "gid").select("x", "y")
         rest = self._ordered(across.union(beside)).distinct().join(first, ["x", "y"], "left_anti")
         return found.union(self._verified(pin(rest, "candidates"), classes))
 
+    def _enough(self, times: str, n_a: str, n_b: str):
+        """Whether two sets share as many prefix entries as similar ones must.
+
+        Similar sets share ``o`` shingles, so of the first p of n at most n - o are not in the other; of
+        the prefix that ends first in the common order all the others are in the other's prefix.
+        """
+        p = self.percent
+        overlap = f"((({n_a} + {n_b}) * {p}L + {99 + p}) div {100 + p})"
+        least = [f"(({n} - ({p}L * {n} + 99) div 100 + 1) - ({n} - {overlap}))" for n in (n_a, n_b)]
+        return F.expr(f"{times} >= least({least[0]}, {least[1]})")
+
     def _across(self, entries: DataFrame, on: str) -> DataFrame:
         """Pairs of classes on one list that belong to different components and are of like size."""
         side = lambda s: entries.select(on, *[F.col(c).alias(c + s) for c in ("cid", "n", "root")])
         met = side("_a").join(side("_b"), on).where("root_a <> root_b and (n_a < n_b or (n_a = n_b and cid_a < cid_b))")
-        return met.where(self._near("n_a", "n_b")).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"))
+        return met.where(self._near("n_a", "n_b")).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"), "n_a", "n_b")
 
     @staticmethod
     def _ordered(pairs: DataFrame) -> DataFrame:
