@@ -16,6 +16,8 @@ from .rolling import LOWER, spans, windows, words
 SHINGLE, PERCENT = 4, 85
 #: Counters of the sketch that finds frequent shingles, and their blocks: 4 MB, whatever the corpus.
 COUNTERS, BLOCKS = 1 << 20, 64
+#: 64-bit words of a set's odd sketch: bit i is set when an odd number of shingles fall on i.
+ODD = [f"o{i}" for i in range(8)]
 #: Partners that a group meets before components are known; all others follow when they still matter.
 FIRST = 2
 CHUNK = 2 << 20
@@ -52,6 +54,15 @@ def _digest(names: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     return mix2(a[at[1:]] - a[at[:-1]] + n.astype(np.uint64), b[at[1:]] - b[at[:-1]])
 
 
+def _odd_sketch(names: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One row of bits per set. Of two sets the bits that differ are at most their differing shingles, as
+    shared ones cancel out: a bound that rules out pairs without their sets, however large those are."""
+    bits = 64 * len(ODD)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    count = np.bincount(owner * bits + (mix(names + np.uint64(5)) & np.uint64(bits - 1)).astype(np.int64), minlength=(len(at) - 1) * bits)
+    return np.packbits((count & 1).astype(bool).reshape(-1, bits), axis=1).view(np.int64)
+
+
 def _prefixes(names: np.ndarray, at: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The first shingles of each set, rare ones before frequent ones, and where each set's start."""
     n = np.diff(at)
@@ -85,8 +96,8 @@ class JaccardJoin:
         self.rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
         self.rank = self.rows.sparkSession.sparkContext.broadcast(self._frequent())
         self.docs = pin(self._described(), "sets")
-        # sets of one size and digest are one class; its document with the least id stands for it
-        self.classes = self.docs.where("n > 0").groupBy("cid").agg(F.min("_id").alias("_id"), F.min("n").alias("n"), F.min("gid").alias("gid"))
+        # sets of one size and digest are one class; its document with the least id stands for it, and all have the same sketch
+        self.classes = self.docs.where("n > 0").groupBy("cid").agg(F.min("_id").alias("_id"), F.min("n").alias("n"), F.min("gid").alias("gid"), *[F.min(c).alias(c) for c in ODD])
 
     def _texts(self, turn, schema: str) -> DataFrame:
         return self.rows.mapInArrow(turn, schema)
@@ -134,9 +145,11 @@ class JaccardJoin:
                 first, starts = _prefixes(names, at, rank.value, percent)
                 columns = {"_id": part["_id"], "n": pa.array(n, pa.int32())}
                 columns |= {"cid": _digest(names, at, n).view(np.int64), "gid": _digest(first, starts, n).view(np.int64)}
+                odd = _odd_sketch(names, at)
+                columns |= {c: np.ascontiguousarray(odd[:, i]) for i, c in enumerate(ODD)}
                 yield pa.RecordBatch.from_pydict(columns)
 
-        return self._texts(turn, f"_id {self.kind}, n int, cid long, gid long")
+        return self._texts(turn, f"_id {self.kind}, n int, cid long, gid long, " + ", ".join(f"{c} long" for c in ODD))
 
     def _lists(self) -> DataFrame:
         """Entries ``token``, ``n``, ``gid`` of all groups; a task names each group once."""
@@ -188,7 +201,7 @@ class JaccardJoin:
         found = pin(self._verified(first, classes), "links")
 
         roots = components(found)
-        member = classes.join(roots, classes["cid"] == roots["node"], "left").select("cid", "n", "gid", F.coalesce("root", "cid").alias("root"))
+        member = classes.join(roots, classes["cid"] == roots["node"], "left").select("cid", "n", "gid", F.coalesce("root", "cid").alias("root"), *ODD)
         member = pin(member, "members")
         lists = shared.select("token", "gid").distinct().join(member, "gid")
         mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
@@ -205,16 +218,21 @@ class JaccardJoin:
         Similar sets share ``o`` shingles, so of the first p of n at most n - o are not in the other; of
         the prefix that ends first in the common order all the others are in the other's prefix.
         """
-        p = self.percent
-        overlap = f"((({n_a} + {n_b}) * {p}L + {99 + p}) div {100 + p})"
+        p, overlap = self.percent, self._overlap(n_a, n_b)
         least = [f"(({n} - ({p}L * {n} + 99) div 100 + 1) - ({n} - {overlap}))" for n in (n_a, n_b)]
         return F.expr(f"{times} >= least({least[0]}, {least[1]})")
 
+    def _overlap(self, n_a: str, n_b: str) -> str:
+        """The shingles that sets of these sizes share at least when they are similar."""
+        return f"((({n_a} + {n_b}) * {self.percent}L + {99 + self.percent}) div {100 + self.percent})"
+
     def _across(self, entries: DataFrame, on: str) -> DataFrame:
         """Pairs of classes on one list that belong to different components and are of like size."""
-        side = lambda s: entries.select(on, *[F.col(c).alias(c + s) for c in ("cid", "n", "root")])
+        side = lambda s: entries.select(on, *[F.col(c).alias(c + s) for c in ("cid", "n", "root", *ODD)])
         met = side("_a").join(side("_b"), on).where("root_a <> root_b and (n_a < n_b or (n_a = n_b and cid_a < cid_b))")
-        return met.where(self._near("n_a", "n_b")).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"), "n_a", "n_b")
+        differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in ODD)
+        met = met.where(self._near("n_a", "n_b")).where(f"{differ} <= n_a + n_b - 2 * {self._overlap('n_a', 'n_b')}")
+        return met.select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"), "n_a", "n_b")
 
     @staticmethod
     def _ordered(pairs: DataFrame) -> DataFrame:
