@@ -24,7 +24,7 @@ def test_query_matches_sql(spark, sf, name):
 
 def test_entry_and_registry(spark):
     assert entry.entry(spark).columns == ["region", "month", "orders", "revenue", "revenue_rank"]
-    without = set(entry.queries()) - set(entry.oracle_sql())
+    without = set(entry.REGISTRY) - set(entry.oracle_sql())
     assert without == {"sample_preview", "activity_summary_approximate"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
