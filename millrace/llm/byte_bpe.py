@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import no_cycles, pieces
 
 
 #: Bytes of text that a task encodes at once.
@@ -237,6 +237,10 @@ class Encoder:
 
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text starts in it, with the end."""
+        with no_cycles():
+            return self._encode_all(texts)
+
+    def _encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         cut = [self.parts(t) for t in texts]
         distinct, piece_at = _codes(list(chain.from_iterable(cut)))
         tokens = [(p,) if p[1:].isalpha() and (p[0] == " " or p[0].isalpha()) else self.split(p) for p in distinct]

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from .common import pieces, total_bytes
+from .common import no_cycles, pieces, total_bytes
 
 #: ORC writes integers run-length encoded by itself; the rest makes stripes small enough for many readers
 #: and lets a reader skip stripes and row groups.
@@ -47,7 +47,7 @@ class WordEncoder:
     Pieces of plain letters, digits and punctuation go to the library's model directly; all others
     take its whole path."""
 
-    #: Pieces and words that a task remembers.
+    #: Words that a task remembers.
     MEMORY = 250_000
 
     def __init__(self, path: str):
@@ -57,7 +57,6 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {"": ()}
 
     def word(self, w: str) -> tuple[int, ...]:
         ids = self.words.get(w)
@@ -67,21 +66,23 @@ class WordEncoder:
         return ids
 
     def piece(self, p: str) -> tuple[int, ...]:
+        if p.isascii() and p.isalpha():
+            return self.word(p.lower())
         if _SAFE(p) and "<|" not in p:
             return tuple(chain.from_iterable(map(self.word, _SPLIT(p.lower()))))
         return tuple(self.tokenizer.encode(p, add_special_tokens=False).ids)
 
-    def encode(self, text: str) -> list[int]:
-        if len(self.pieces) > self.MEMORY:
-            self.pieces = {"": ()}
-        if len(self.words) > self.MEMORY:
-            self.words.clear()
-        parts = text.replace("\n", " ").split(" ")
-        known = self.pieces
-        for p in set(parts):
-            if p not in known:
-                known[p] = self.piece(p)
-        return list(chain.from_iterable(map(known.__getitem__, parts)))
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        with no_cycles():
+            if len(self.words) > self.MEMORY:
+                self.words.clear()
+            cut = [t.replace("\n", " ").split(" ") for t in texts]
+            ids = dict.fromkeys(chain.from_iterable(cut))
+            ids.pop("", None)
+            for p in ids:
+                ids[p] = self.piece(p)
+            ids[""] = ()
+            return [list(chain.from_iterable(map(ids.__getitem__, parts))) for parts in cut]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -117,7 +118,7 @@ def write_tokens(
         e = _encoder(tokenizer)
         last = [] if end_id is None else [end_id]
         for part in pieces(batches, ["_id", "_text"], "_text", 4 << 20):
-            ids = [e.encode(t) + last for t in part["_text"].to_pylist()]
+            ids = [x + last for x in e.encode_all(part["_text"].to_pylist())]
             size = np.fromiter(map(len, ids), np.int64, len(ids))
             ends = np.cumsum(size)
             lists = pa.ListArray.from_arrays(
