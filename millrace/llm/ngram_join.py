@@ -184,6 +184,19 @@ class JaccardJoin:
 
     def links(self) -> DataFrame:
         """Verified pairs ``a``, ``b`` of classes that connect every pair of similar classes."""
+        first, later, _ = self._rounds()
+        return first.union(later)
+
+    def roots(self) -> DataFrame:
+        """``node`` and ``root`` of every class: the components of the first links, then those of the components."""
+        _, later, member = self._rounds()
+        of = lambda c: member.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}"))
+        between = later.join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+        merged = pin(components(pin(between, "links")), "roots").select(F.col("node").alias("root"), F.col("root").alias("_to"))
+        return member.join(merged, "root", "left").select(F.col("cid").alias("node"), F.coalesce("_to", "root").alias("root"))
+
+    def _rounds(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The links of first partners, the classes with the components these form, and the links between those."""
         along = Window.partitionBy("token").orderBy("n", F.xxhash64("gid", "token"), "gid")
         entries = self._lists().select("*", F.lag("gid").over(along).alias("before"), F.lag("n").over(along).alias("n_before"), F.lead("gid").over(along).alias("after"))
         # lists of one group link nothing; a group that several tasks named stands beside itself
@@ -210,7 +223,7 @@ class JaccardJoin:
         across = met.where(self._enough("times", "n_a", "n_b")).select("x", "y")
         beside = self._across(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "gid").select("x", "y")
         rest = self._ordered(across.union(beside)).distinct().join(first, ["x", "y"], "left_anti")
-        return found.union(self._verified(pin(rest, "candidates"), classes))
+        return found, pin(self._verified(pin(rest, "candidates"), classes), "links"), member
 
     def _enough(self, times: str, n_a: str, n_b: str):
         """Whether two sets share as many prefix entries as similar ones must.
@@ -282,9 +295,11 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     An empty table gives an empty one; other columns are not read.
     """
     join = JaccardJoin(df, id_col, text_col, size, percent)
-    roots = pin(components(pin(join.links(), "links")), "roots")
+    roots = pin(join.roots(), "roots")
     docs = join.docs.join(roots, join.docs["cid"] == roots["node"], "left").select("_id", "n", F.coalesce("root", "cid").alias("root"))
-    least = docs.where("n > 0").groupBy("root").agg(F.min("_id").alias("least"))
-    named = docs.join(least, "root", "left")
+    # a key of its own: both sides are then shuffled for this join alone, and Spark can split a hot component
+    named = docs.withColumn("_root", F.col("root").cast("string"))
+    least = docs.where("n > 0").groupBy("root").agg(F.min("_id").alias("least")).select(F.col("root").cast("string").alias("_root"), "least")
+    named = named.join(least, "_root", "left")
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("_id"))
     return named.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
