@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import pin
@@ -72,35 +72,44 @@ def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float]] = TARGETS,
     ``tokens``. Adds ``weight``: the factor by which a cell's tokens count, so
     that every dimension has its target shares of the total. Each step scales
     one dimension by an aggregate and a join; the cells, not the documents, go
-    through the rounds, and each round is written to the shared folder. It
+    through the rounds, and each step is written to the shared folder. It
     ends when no share is off by more than ``close``, or after ``rounds``:
     targets that the occurring cells cannot reach together end there.
     Cells without tokens have weight 0.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    shares = {dim: pin(_targets(cells, dim, t), f"target-{dim}") for dim, t in targets.items()}
     now = cells.withColumn("weight", F.when(F.col("tokens") > 0, 1.0).otherwise(0.0))
     if not total:
         return now
+    for dim, t in targets.items():
+        now = now.join(_targets(cells, dim, t).withColumnRenamed("share", f"_share_{dim}"), dim)
+    now = pin(now, "raking")
     before = float("inf")
     for _ in range(rounds):
-        off = None
-        for dim, share in shares.items():
-            sums = now.groupBy(dim).agg(F.sum(F.col("tokens") * F.col("weight")).alias("_sum"))
-            wanted = F.col("share") * F.lit(float(total))
-            factor = sums.join(share, dim).select(dim, F.when(F.col("_sum") > 0, wanted / F.col("_sum")).otherwise(0.0).alias("_f"))
-            now = now.join(factor, dim).withColumn("weight", F.col("weight") * F.col("_f"))
-            miss = F.when(F.col("weight") > 0, F.abs(F.col("_f") - 1)).otherwise(0.0)
-            now = now.withColumn("_miss", F.greatest("_miss", miss) if off else miss).drop("_f")
-            off = True
-        now = pin(now, "raked")
-        worst = now.agg(F.max("_miss")).first()[0] or 0.0
-        now = now.drop("_miss")
+        worst = 0.0
+        for dim in targets:
+            now, miss = _scale(now, dim, float(total))
+            worst = max(worst, miss)
         # no gain any more: the cells that occur cannot reach all targets together
         if worst <= close or worst > 0.999 * before:
             break
         before = worst
-    return now
+    return now.drop(*[f"_share_{dim}" for dim in targets])
+
+
+def _scale(now: DataFrame, dim: str, total: float) -> tuple[DataFrame, float]:
+    """Bring one dimension to its shares; also the largest correction of a cell that counts.
+
+    The result is written: a plan over a plan that reads its input twice would double with each
+    dimension. The correction comes out of the same write.
+    """
+    sums = now.groupBy(dim).agg(F.sum(F.col("tokens") * F.col("weight")).alias("_sum"))
+    factor = F.when(F.col("_sum") > 0, F.col(f"_share_{dim}") * total / F.col("_sum")).otherwise(0.0)
+    scaled = now.join(sums, dim).withColumn("_f", factor).withColumn("weight", F.col("weight") * F.col("_f"))
+    seen = Observation()
+    miss = F.max(F.when(F.col("weight") > 0, F.abs(F.col("_f") - 1)).otherwise(0.0))
+    done = pin(scaled.observe(seen, miss.alias("miss")).select(*now.columns), "raked")
+    return done, seen.get["miss"] or 0.0
 
 
 def calibrate(raked: DataFrame, keep: float = 0.5, rounds: int = 20) -> DataFrame:
