@@ -39,9 +39,15 @@ def changes(log: DataFrame, start: int, end: int | None = None, types: list[str]
     return out.where(F.col("_change_type").isin(types)) if types else out
 
 
+def _known(key: str) -> Column:
+    """A key column; a NULL in it is an error, as no later change could find its row."""
+    return F.coalesce(F.col(key), F.raise_error(F.lit(f"NULL in key column {key} of a change log")))
+
+
 def diff(before: DataFrame, after: DataFrame, keys: list[str], version: int, timestamp: Column) -> DataFrame:
-    """The change rows that lead from one state to the other."""
+    """The change rows that lead from one state to the other; a NULL in a key is an error."""
     columns = before.columns
+    before, after = (df.withColumns({k: _known(k) for k in keys}) for df in (before, after))
     values = [c for c in columns if c not in keys]
     b = before.withColumn("_in_b", F.lit(True)).alias("b")
     a = after.select(*columns).withColumn("_in_a", F.lit(True)).alias("a")
@@ -89,14 +95,16 @@ def _last_images(log: DataFrame, keys: list[str]) -> DataFrame:
     at = F.struct("_commit_version", _rank(F.col("_change_type")))
     return (
         log.where("_change_type <> 'update_preimage'")
-        .groupBy(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)])
+        .groupBy(*[_known(k).alias(f"_key{i}") for i, k in enumerate(keys)])
         .agg(F.max_by(F.struct(*values, *META), at).alias("r"))
         .select("r.*")
     )
 
 
 def as_of(log: DataFrame, keys: list[str], version: int | None = None, timestamp=None) -> DataFrame:
-    """The table as it was at a version or a time; the newest state by default."""
+    """The table as it was at a version or a time; the newest state by default.
+
+    A NULL in a key of the log is an error."""
     if version is not None:
         log = log.where(F.col("_commit_version") <= version)
     if timestamp is not None:

@@ -15,17 +15,6 @@ from pyspark.sql import functions as F
 
 from .windows import top_n
 
-#: Most rows a side may have to be broadcast by hint.
-BROADCAST_ROWS = 1_000_000
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` was counted to be small; else leave it to Spark.
-
-    Needed where adaptive execution cannot decide at run time, as in streams."""
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def left_enrich(
     df: DataFrame, dim: DataFrame, key: str | list[str], defaults: dict[str, object] | None = None
 ) -> DataFrame:
@@ -76,11 +65,6 @@ def star(fact: DataFrame, dims: Iterable[tuple[DataFrame, str, str]], how: str =
     return out
 
 
-def same_row(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
-    """Null-safe equality over several columns."""
-    return reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in columns], F.lit(True))
-
-
 def diff_keys(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of two states with what happened to each: added, removed, changed or same."""
     values = [c for c in before.columns if c not in keys]

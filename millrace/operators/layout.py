@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -58,8 +59,15 @@ def zorder(df: DataFrame, columns: list[str], parts: int, bits: int = 8) -> Data
     """Rows ordered along a Z-curve over ``columns``.
 
     Each column is cut at its approximate quantiles into ``2**bits`` buckets;
-    the bits of the bucket numbers are interleaved."""
+    the bits of the bucket numbers are interleaved.  A text counts by the seven
+    bytes after the prefix that all its values share."""
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
+    given, texts = df.columns, [c for c in columns if df.schema[c].dataType.typeName() in ("string", "varchar", "char")]
+    if texts:
+        ends = df.agg(*[f(c).alias(f"{n}_{c}") for c in texts for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        shared = {c: _shared_bytes(ends[f"lo_{c}"], ends[f"hi_{c}"]) for c in texts}
+        df = df.withColumns({f"_t_{c}": _text_rank(c, n) for c, n in shared.items()})
+        columns = [f"_t_{c}" if c in texts else c for c in columns]
     cuts = df.agg(*[F.percentile_approx(c, steps, 10_000).alias(f"c{i}") for i, c in enumerate(columns)]).first()
 
     def at_or_below(bounds: Column, column: str) -> Column:
@@ -86,7 +94,18 @@ def zorder(df: DataFrame, columns: list[str], parts: int, bits: int = 8) -> Data
             z = z + F.shiftleft(one, bit * len(buckets) + i)
     df = df.withColumns({"_z": z, "_spread": _spread(df)}).drop(*[f"_b{i}" for i in range(len(columns))])
     ranged = df.repartitionByRange(parts, "_z", "_spread")
-    return ranged.sortWithinPartitions("_z").drop("_z", "_spread")
+    return ranged.sortWithinPartitions("_z").select(*given)
+
+
+def _shared_bytes(lo: str | None, hi: str | None) -> int:
+    """Bytes that the least and the greatest text, and so all between them, begin with."""
+    return len(os.path.commonprefix([(lo or "").encode(), (hi or "").encode()]))
+
+
+def _text_rank(column: str, skip: int) -> Column:
+    """A number that rises with the seven bytes of a text after the first ``skip``."""
+    part = F.hex(F.substring(F.encode(F.col(column), "UTF-8"), skip + 1, 7))
+    return F.conv(F.rpad(part, 14, "0"), 16, 10).cast("bigint")
 
 
 def write_sized(df: DataFrame, path: str, rows_per_file: int) -> None:

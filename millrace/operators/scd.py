@@ -96,7 +96,8 @@ def apply_changes(
 ) -> DataFrame:
     """Fold a stream of row changes into the latest state (1) or its history (2).
 
-    ``seq`` orders the changes of a key, ``tie`` decides among equal ones.
+    ``seq`` orders the changes of a key, ``tie`` decides among equal ones;
+    without ``tie`` a history with equal ones is an error.
     With ``ignore_nulls`` a NULL leaves the earlier value in place.  A change
     in a tracked column opens a new version; other columns are updated in the
     open one.  ``__START_AT`` is the first ``seq`` of a version, ``__END_AT``
@@ -119,8 +120,12 @@ def apply_changes(
     tracked = [c for c in (track or kept) if c in kept]
     # the marker is NULL only before the first row of a key
     image = F.struct(F.lit(1).alias("_row"), *tracked)
-    rows.previous("_before", image)
-    rows.df = rows.df.withColumn("_new", (~F.col("_before").eqNullSafe(image)).cast("int"))
+    rows.previous("_before", F.struct(image.alias("image"), F.col(seq).alias("at")))
+    opens = ~F.col("_before.image").eqNullSafe(image)
+    if not tie:
+        undecided = F.raise_error(F.concat(F.lit(f"two changes of a key with {seq} "), F.col(seq).cast("string")))
+        opens = F.when(F.col("_before.at") == F.col(seq), undecided.cast("boolean")).otherwise(opens)
+    rows.df = rows.df.withColumn("_new", opens.cast("int"))
     numbered = rows.running_sum("_version", F.col("_new")).result()
     versions = numbered.groupBy(*keys, "_version").agg(
         F.max_by(F.struct(*kept), at).alias("_row"), F.min(seq).alias("__START_AT")

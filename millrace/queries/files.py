@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..operators import layout as L
+from ..operators import merge as M
 from ..operators.setops import union_evolving
 from ..session import work_dir
 from ..sources import files as S
@@ -192,6 +193,20 @@ def load_once(t):
     return I.read_loaded(t.spark, f"{root}/table")
 
 
+@query("load_once_after_crash", "S12", ORDERS_SQL)
+def load_once_after_crash(t):
+    """The first load lost its end mark; a new file came before it was repeated."""
+    root = work_dir(t.spark, "load")
+    orders = plain_orders(t)
+    source = (t.spark, f"{root}/in", "json", f"{root}/table")
+    orders.where("o_orderstatus = 'F'").write.json(f"{root}/in")
+    I.load_once(*source, f"{root}/manifest", ORDER_DDL)
+    t.spark.read.parquet(f"{root}/manifest").where("path is not null").write.parquet(f"{root}/broken")
+    orders.where("o_orderstatus <> 'F'").write.mode("append").json(f"{root}/in")
+    I.load_once(*source, f"{root}/broken", ORDER_DDL)
+    return I.read_loaded(t.spark, f"{root}/table")
+
+
 @query(
     "lineage_columns",
     "S14",
@@ -325,6 +340,21 @@ def merge_into_partitions(t):
     return K.read(t.spark, path)
 
 
+@query(
+    "merge_into_empties_partition",
+    "M7 K7",
+    """SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+    WHERE year(o_orderdate) <> (SELECT MAX(year(o_orderdate)) FROM orders)""",
+)
+def merge_into_empties_partition(t):
+    path = work_dir(t.spark, "by-year")
+    rows = t.orders.select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    K.write(rows, path, partition_by=["year"])
+    gone = rows.join(rows.agg(F.max("year").alias("year")), "year")
+    K.merge_into(path, gone, ["year", "o_orderkey"], ["year"], [M.delete()], keyed=True, check=False)
+    return K.read(t.spark, path)
+
+
 # -- file layout ----------------------------------------------------------
 
 
@@ -357,6 +387,13 @@ def zorder_layout(t):
     return t.spark.read.parquet(out)
 
 
+@query("zorder_text", "L3", "SELECT * FROM orders")
+def zorder_text(t):
+    out = work_dir(t.spark, "zorder-text")
+    L.zorder(t.orders, ["o_orderstatus", "o_orderpriority", "o_custkey"], parts=16).write.parquet(out)
+    return t.spark.read.parquet(out)
+
+
 @query("cluster_layout", "L4 K8", "SELECT * FROM lineitem WHERE l_suppkey = 7")
 def cluster_layout(t):
     out = work_dir(t.spark, "cluster")

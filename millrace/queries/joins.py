@@ -157,7 +157,7 @@ def join_aggregate_first(t):
 )
 def join_broadcast_small(t):
     return (
-        t.customer.join(J.small_side(t.nation), F.col("c_nationkey") == F.col("n_nationkey"))
+        t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name")
         .agg(F.count(F.lit(1)).alias("customers"), money_sum("c_acctbal").alias("balance"))
     )

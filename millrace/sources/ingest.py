@@ -6,7 +6,6 @@ import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..streaming.runner import run_append
@@ -63,16 +62,23 @@ def ingest_files(
     return schema
 
 
-def new_files(spark: SparkSession, src: str, manifest: str) -> DataFrame:
-    """Files below ``src`` that the manifest does not list; their content is not read."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src).select("path")
+MANIFEST = "path string, load_id string"
+
+
+def _manifest(spark: SparkSession, manifest: str) -> DataFrame:
+    """Files per load; the entry without a path says that the load is complete."""
     try:
-        loaded = spark.read.schema("path string, load_id string").parquet(manifest)
+        return spark.read.schema(MANIFEST).parquet(manifest)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":  # no manifest before the first load
-            return found
+            return spark.createDataFrame([], MANIFEST)
         raise
-    return found.join(loaded, "path", "left_anti")
+
+
+def new_files(spark: SparkSession, src: str, manifest: str) -> DataFrame:
+    """Files below ``src`` that the manifest does not list; their content is not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(src).select("path")
+    return found.join(_manifest(spark, manifest), "path", "left_anti")
 
 
 def load_once(
@@ -80,24 +86,30 @@ def load_once(
 ) -> int:
     """Load the files not loaded before; returns how many.
 
-    Rows go to a folder named after the set of files, so a load repeated after
-    a crash between the two writes overwrites its own rows.  Only file names
-    reach the driver, as for any read that lists files."""
-    paths = sorted(r.path for r in new_files(spark, src, manifest).collect())
-    if not paths:
-        return 0
-    load_id = hashlib.sha256("\n".join(paths).encode()).hexdigest()[:16]
-    rows = spark.read.schema(schema).options(**options).format(fmt).load(paths)
-    rows.write.mode("overwrite").parquet(f"{target}/load_id={load_id}")
-    entries = spark.createDataFrame([(p, load_id) for p in paths], "path string, load_id string")
-    entries.write.mode("append").parquet(manifest)
-    return len(paths)
+    The manifest names the files of a load before its rows are written, and
+    its end after.  A load without an end is written again, with its own files
+    and over its own folder, before newer files make up the next load.  Only
+    file names reach the driver, as for any read that lists files."""
+    entries = _manifest(spark, manifest)
+    ended = entries.where("path is null").select("load_id")
+    broken: dict[str, list[str]] = {}
+    for row in entries.where("path is not null").join(ended, "load_id", "left_anti").distinct().collect():
+        broken.setdefault(row.load_id, []).append(row.path)
+    fresh = sorted(r.path for r in new_files(spark, src, manifest).collect())
+    if fresh:
+        load_id = hashlib.sha256("\n".join(fresh).encode()).hexdigest()[:16]
+        _note(spark, manifest, [(p, load_id) for p in fresh])
+        broken[load_id] = fresh
+    for load_id, paths in broken.items():
+        rows = spark.read.schema(schema).options(**options).format(fmt).load(paths)
+        rows.write.mode("overwrite").parquet(f"{target}/load_id={load_id}")
+        _note(spark, manifest, [(None, load_id)])
+    return sum(map(len, broken.values()))
+
+
+def _note(spark: SparkSession, manifest: str, entries: list[tuple[str | None, str]]) -> None:
+    spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("append").parquet(manifest)
 
 
 def read_loaded(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop("load_id")
-
-
-def flat_text(df: DataFrame) -> DataFrame:
-    """Rows as JSON text lines, the form in which sources deliver them."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))

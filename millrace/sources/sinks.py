@@ -5,11 +5,14 @@ A target is a table name or, when it contains a slash, a path of parquet files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.merge import UPSERT, merge
+from ..session import pin
 
 
 class SchemaMismatch(ValueError):
@@ -106,21 +109,47 @@ def merge_into(path: str, source: DataFrame, on: list[str], partition_by: list[s
     """Merge into a partitioned table, rewriting only the partitions the source touches.
 
     The partition columns must be among ``on``, so that a key never moves to
-    another partition.  The values found in the source prune the read of the
-    table; all other partitions are neither read nor written."""
+    another partition.  The table is joined to the partitions of the source,
+    whose ranges also prune the read; all other partitions are neither read nor
+    written.  A partition that the merge empties loses its folder.  Repeating
+    a merge that broke off gives the same table."""
     if not set(partition_by) <= set(on):
         raise ValueError("partition columns must be part of the key")
     spark = source.sparkSession
-    table = spark.read.parquet(path)
-    # one row per partition of the source: as many as folders will be written
-    touched = source.select(*partition_by).distinct().collect()
-    if not touched:
-        return
-    hit = F.lit(False)
-    for row in touched:
-        here = F.lit(True)
-        for c in partition_by:
-            here = here & F.col(c).eqNullSafe(F.lit(row[c]))
-        hit = hit | here
-    result = merge(table.where(hit), source, on, clauses, **options)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    old = _touched(spark.read.parquet(path).withColumn("_folder", folder), source, partition_by)
+    result = pin(merge(old.drop("_folder"), source, on, clauses, **options), "merged")
+    left = result.select(*[F.col(c).alias(f"_s_{c}") for c in partition_by]).distinct()
+    folders = old.select(*partition_by, "_folder").distinct()
+    emptied = pin(folders.join(left, _same_partition(partition_by), "left_anti").select("_folder"), "emptied")
     replace_partitions(result, path, partition_by)
+    for row in emptied.toLocalIterator():
+        _remove(spark, row["_folder"])
+
+
+def _same_partition(partition_by: list[str], null_safe: bool = True) -> Column:
+    pairs = [(F.col(c), F.col(f"_s_{c}")) for c in partition_by]
+    return reduce(lambda a, b: a & b, [x.eqNullSafe(y) if null_safe else x == y for x, y in pairs])
+
+
+def _touched(table: DataFrame, source: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The table's rows in partitions that the source has rows for.
+
+    One row of bounds reaches the driver.  Partitions without a NULL are joined
+    by plain equality, which Spark can turn into pruning at run time."""
+    named = source.select(*[F.col(c).alias(f"_s_{c}") for c in partition_by]).distinct()
+    bounds = source.agg(*[f(c).alias(f"{n}_{c}") for c in partition_by for n, f in (("lo", F.min), ("hi", F.max))]).first()
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in partition_by])
+    whole_s = reduce(lambda a, b: a & b, [F.col(f"_s_{c}").isNotNull() for c in partition_by])
+    inside = whole
+    for c in partition_by:
+        inside = inside & F.col(c).between(F.lit(bounds[f"lo_{c}"]), F.lit(bounds[f"hi_{c}"]))
+    full = table.where(inside).join(named.where(whole_s), _same_partition(partition_by, False), "left_semi")
+    blank = table.where(~whole).join(named.where(~whole_s), _same_partition(partition_by), "left_semi")
+    return full.unionByName(blank)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Remove one partition folder through the file system that holds it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

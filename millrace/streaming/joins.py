@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import small_side
 
 
 def stream_enrich(
@@ -28,7 +27,7 @@ def stream_enrich(
         dim = dim.where(where)
     if columns is not None:
         dim = dim.select(key, *[c for c in columns if c != key])
-    out = stream.join(small_side(dim), key, how)
+    out = stream.join(dim, key, how)
     return out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in (defaults or {}).items()})
 
 

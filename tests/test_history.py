@@ -121,3 +121,19 @@ def test_history_operations(log):
     assert rows(C.history(log), "_commit_version", "operation", "inserted", "updated", "deleted") == [
         (0, "INSERT", 3, 0, 0), (1, "MERGE", 1, 1, 0), (2, "UPDATE", 0, 2, 0), (3, "DELETE", 0, 0, 1)
     ]
+
+
+def test_history_refuses_equal_sequence_numbers(spark):
+    twice = spark.createDataFrame([("k", 1, "a"), ("k", 1, "b")], "key string, seq int, tracked string")
+    with pytest.raises(Exception, match="two changes of a key"):
+        S.apply_changes(twice, ["key"], "seq").collect()
+    assert S.apply_changes(twice, ["key"], "seq", tie=["tracked"]).count() == 2
+
+
+def test_change_log_refuses_null_keys(spark):
+    state = spark.createDataFrame([(None, 1), (None, 2)], "key string, v int")
+    log = C.baseline(state, 0, F.lit("2024-01-01").cast("timestamp"))
+    with pytest.raises(Exception, match="NULL in key column"):
+        C.as_of(log, ["key"]).collect()
+    with pytest.raises(Exception, match="NULL in key column"):
+        C.diff(state, state, ["key"], 1, F.lit("2024-01-01").cast("timestamp")).collect()
