@@ -22,7 +22,7 @@ def text_of(c: str = "text") -> Column:
 
 def words_of(c: Column) -> Column:
     """The words of a text, natively: maximal runs of other characters than white space."""
-    return F.filter(F.split(c, SPACE + "+"), lambda w: w != "")
+    return F.array_remove(F.split(c, SPACE + "+"), "")
 
 
 def pieces(batches, names: list[str], text: str, limit: int = 8 << 20) -> Iterator[dict[str, pa.Array]]:

@@ -17,16 +17,19 @@ def _distinct(c: Column) -> Column:
     return F.size(F.array_distinct(c)).cast("long")
 
 
-def _window_names(words: Column, hashed: Column) -> Column:
-    """64-bit names of all windows of eight words, by three doublings of the words' names."""
-    names = hashed
-    for step in (1, 2, 4):
-        names = F.zip_with(
-            F.slice(names, 1, F.greatest(F.size(names) - step, F.lit(0))),
-            F.slice(names, step + 1, F.greatest(F.size(names) - step, F.lit(0))),
-            lambda a, b: F.xxhash64(a, b),
-        )
-    return names
+def _paired(names: Column, step: int) -> Column:
+    """64-bit names of windows twice as long, from the names of windows of ``step`` words."""
+    n = F.greatest(F.size(names) - step, F.lit(0))
+    return F.zip_with(F.slice(names, 1, n), F.slice(names, step + 1, n), lambda a, b: F.xxhash64(a, b))
+
+
+def _all_differ(names: Column) -> Column:
+    return F.size(names) == F.size(F.array_distinct(names))
+
+
+def _with(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _repeated(words: Column) -> Column:
@@ -40,16 +43,7 @@ def _repeated(words: Column) -> Column:
     windows = F.array_sort(
         F.transform(places, lambda i: F.struct(F.array_join(F.slice(words, i + 1, F.lit(WINDOW)), " ").alias("w"), i.alias("i")))
     )
-    n = F.size(windows)
-    empty = F.array().cast("array<struct<w:string,i:int>>")
-    before = F.concat(F.array(F.lit(None).cast("struct<w:string,i:int>")), F.when(n > 1, F.slice(windows, 1, n - 1)).otherwise(empty))
-    after = F.when(n > 1, F.slice(windows, 2, n - 1)).otherwise(empty)
-    pairs = F.arrays_zip(windows.alias("a"), before.alias("b"), after.alias("c"))
-    marked = F.array_sort(
-        F.transform(
-            F.filter(pairs, lambda p: (p["a"]["w"] == p["b"]["w"]) | (p["a"]["w"] == p["c"]["w"])), lambda p: p["a"]["i"]
-        )
-    )
+    marked = _with(windows, _marked)
     start = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("long").alias("n"))
     return F.aggregate(
         marked,
@@ -59,6 +53,17 @@ def _repeated(words: Column) -> Column:
     )
 
 
+def _marked(windows: Column) -> Column:
+    """Places of the sorted windows that equal a neighbour."""
+    n = F.size(windows)
+    empty = F.array().cast("array<struct<w:string,i:int>>")
+    before = F.concat(F.array(F.lit(None).cast("struct<w:string,i:int>")), F.when(n > 1, F.slice(windows, 1, n - 1)).otherwise(empty))
+    after = F.when(n > 1, F.slice(windows, 2, n - 1)).otherwise(empty)
+    pairs = F.arrays_zip(windows.alias("a"), before.alias("b"), after.alias("c"))
+    equal = F.filter(pairs, lambda p: (p["a"]["w"] == p["b"]["w"]) | (p["a"]["w"] == p["c"]["w"]))
+    return F.array_sort(F.transform(equal, lambda p: p["a"]["i"]))
+
+
 def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every measurement of every document, once: the id and one long per measurement."""
     text = text_of(text_col)
@@ -66,8 +71,9 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     hashed = words.select(
         "*",
         F.filter(F.split("_text", "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]")).alias("_lines"),
-        _window_names(F.col("_words"), F.transform("_words", lambda w: F.xxhash64(w))).alias("_names"),
+        _paired(_paired(F.col("_words"), 1), 2).alias("_names"),
     )
+    names = F.col("_names")
     long = lambda c: c.cast("long")
     return hashed.select(
         F.col(id_col),
@@ -75,13 +81,14 @@ def measure(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         long(F.length(F.array_join("_words", ""))).alias("word_chars"),
         long(F.length(F.regexp_replace("_text", "[^#*$%&|<>]+", ""))).alias("n_symbols"),
         (F.size("_lines") - _distinct(F.col("_lines"))).cast("long").alias("n_dup_lines"),
-        # equal names are needed for equal windows: without any there is nothing to compare
-        F.when(F.size("_names") == _distinct(F.col("_names")), F.lit(0).cast("long"))
+        # equal windows have equal names, and so have their first four words: without any there is nothing to compare
+        F.when(_all_differ(names), F.lit(0).cast("long"))
+        .when(_with(_paired(names, 4), _all_differ), F.lit(0).cast("long"))
         .otherwise(_repeated(F.col("_words")))
         .alias("n_repeat_words"),
         long(F.size("_lines")).alias("n_lines"),
-        long(F.length(F.regexp_replace("_text", "[^!]+", ""))).alias("n_marks"),
-        long(F.size(F.filter(F.zip_with("_words", F.slice("_words", 2, F.size("_words")), lambda a, b: a == b), lambda x: x))).alias("n_echoes"),
+        long(F.octet_length("_text") - F.octet_length(F.replace("_text", F.lit("!"), F.lit("")))).alias("n_marks"),
+        long(F.size(F.array_remove(F.zip_with("_words", F.slice("_words", 2, F.size("_words")), lambda a, b: a.eqNullSafe(b)), False))).alias("n_echoes"),
     )
 
 
