@@ -17,6 +17,19 @@ def _same(a, b):
     return a.eqNullSafe(b)
 
 
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row``, a digest of all columns: rows are equal when their names are."""
+    texts = [F.col(c).cast("string") for c in docs.columns]
+    parts = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return docs.withColumn("_row", F.sha2(F.concat(*parts), 256))
+
+
+def _rows_of(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """The rows that ``names`` holds the ``_row`` of, equal ones once. Map tasks combine equal rows before they meet."""
+    once = _named(docs).groupBy("_row").agg(*[F.first(c).alias(c) for c in docs.columns])
+    return once.join(names.select("_row"), "_row", "left_semi").select(*docs.columns)
+
+
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that are probably of the best grade."""
     model = classifier.train(docs, classifier.grade_labels(table(spark, sf_dir, "labels")), 3)
@@ -24,17 +37,25 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each exact text."""
+    """Keep exactly one row of each exact text.
+
+    Of the rows with the id that stays, that is the one with the most code points, then the least digest of
+    all columns; of rows equal in all columns, any. Repeated ids and NULL ids do not let copies through.
+    """
     kept = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    keyed = docs.withColumn("_own", F.sha2(exact_dedup.without_space(), 256))
-    joined = keyed.join(kept, _same(F.col("doc_id"), F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    return joined.drop("_own")
+    keyed = _named(docs).select("doc_id", F.sha2(exact_dedup.without_space(), 256).alias("_own"), "_row", F.length("text").alias("_chars"))
+    best = keyed.groupBy("doc_id", "_own").agg(F.min(F.struct(-F.coalesce("_chars", F.lit(0)), "_row")).alias("_best"))
+    winners = best.join(kept, _same(F.col("doc_id"), F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
+    return _rows_of(docs, winners.select("_best._row"))
 
 
 def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of each near-duplicate group that names it."""
-    found = ngram_join.near_duplicates(docs).where(_same(F.col("component_id"), F.col("doc_id")))
-    return docs.join(found.select(F.col("doc_id").alias("_id")).distinct(), _same(F.col("doc_id"), F.col("_id")), "left_semi")
+    """Keep exactly one row of each near-duplicate group.
+
+    That is the row with the least id, NULL after all others, then the least digest of all columns; of rows
+    equal in all columns, any. A text without words is near to nothing: only rows equal to it go.
+    """
+    return _rows_of(docs, ngram_join.survivors(_named(docs), "_row"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -90,10 +90,14 @@ class JaccardJoin:
     all rows share stay linear. Shingles are compared by 64-bit names.
     """
 
-    def __init__(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT):
+    def __init__(
+        self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT, name_col: str | None = None
+    ):
+        """``docs`` carries the string column ``name_col`` along, when there is one, as ``_name``."""
         self.size, self.percent = size, percent
         self.kind = df.schema[id_col].dataType.simpleString()
-        self.rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+        self.names = ["_name"] if name_col else []
+        self.rows = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(name_col).alias(c) for c in self.names])
         self.rank = self.rows.sparkSession.sparkContext.broadcast(self._frequent())
         self.docs = pin(self._described(), "sets")
         # sets of one size and digest are one class; its document with the least id stands for it, and all have the same sketch
@@ -136,20 +140,21 @@ class JaccardJoin:
         return np.ceil(np.log2(1 + excess)).astype(np.int8)
 
     def _described(self) -> DataFrame:
-        size, percent, rank = self.size, self.percent, self.rank
+        size, percent, rank, carried = self.size, self.percent, self.rank, self.names
 
         def turn(batches):
-            for part in pieces(batches, ["_id", "_text"], "_text", CHUNK):
+            for part in pieces(batches, ["_id", "_text", *carried], "_text", CHUNK):
                 names, at = shingles(part["_text"].to_pylist(), size)
                 n = np.diff(at)
                 first, starts = _prefixes(names, at, rank.value, percent)
-                columns = {"_id": part["_id"], "n": pa.array(n, pa.int32())}
+                columns = {"_id": part["_id"], **{c: part[c] for c in carried}, "n": pa.array(n, pa.int32())}
                 columns |= {"cid": _digest(names, at, n).view(np.int64), "gid": _digest(first, starts, n).view(np.int64)}
                 odd = _odd_sketch(names, at)
                 columns |= {c: np.ascontiguousarray(odd[:, i]) for i, c in enumerate(ODD)}
                 yield pa.RecordBatch.from_pydict(columns)
 
-        return self._texts(turn, f"_id {self.kind}, n int, cid long, gid long, " + ", ".join(f"{c} long" for c in ODD))
+        named = "".join(f"{c} string, " for c in carried)
+        return self._texts(turn, f"_id {self.kind}, {named}n int, cid long, gid long, " + ", ".join(f"{c} long" for c in ODD))
 
     def _lists(self) -> DataFrame:
         """Entries ``token``, ``n``, ``gid`` of all groups; a task names each group once."""
@@ -303,3 +308,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     named = named.join(least, "_root", "left")
     own = F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("_id"))
     return named.select(F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+
+
+def survivors(df: DataFrame, name_col: str, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``name_col``, a string that names a row, of one row per component and of all rows without words.
+
+    A component's row is the one with the least id, NULL after all others, then the least name. Components
+    are those of the links, also when an id stands in several of them.
+    """
+    join = JaccardJoin(df, id_col, text_col, size, percent, name_col)
+    rank = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_name").alias("name"))
+    # copies become one row before they meet their root
+    classes = join.docs.where("n > 0").groupBy("cid").agg(F.min(rank).alias("best"))
+    roots = pin(join.roots(), "roots")
+    rooted = classes.join(roots, classes["cid"] == roots["node"], "left").select("best", F.coalesce("root", "cid").alias("root"))
+    best = rooted.groupBy("root").agg(F.min("best").alias("best"))
+    return best.select(F.col("best.name").alias(name_col)).union(join.docs.where("n = 0").select(F.col("_name").alias(name_col))).distinct()

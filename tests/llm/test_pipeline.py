@@ -59,3 +59,27 @@ def test_stages_survive_an_empty_table(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = pin(stage(spark, docs, sf), "stage")
     assert docs.isEmpty()
+
+
+def test_dedup_stages_keep_one_row_of_a_group(spark, sf):
+    """Rows that repeat, ids with several texts, and rows without an id."""
+    long, other = " ".join(f"w{i}" for i in range(90)), " ".join(f"v{i}" for i in range(90))
+    data = [(1, long)] * 3 + [(1, long.replace(" ", "  ", 2)), (1, other), (2, long + " tail"), (None, other + " tail"), (None, other + " end")]
+    data += [(None, ""), (None, None), (None, "lone one"), (None, "lone one"), (3, other), (3, ""), (4, "lone two"), (4, "lone two")]
+    docs = spark.createDataFrame([(i, t, "en", None if i == 4 else "src", len(t or "")) for i, t in data], "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.unionAll(docs).repartition(3)
+    show = lambda df: sorted((repr(r.doc_id), repr(r.text)) for r in df.collect())
+    sure = lambda *rows: sorted((repr(i), repr(t)) for i, t in rows)
+
+    exact = corpus_pipeline.deduplicate(spark, both, sf)
+    assert exact.columns == docs.columns
+    lone = [(None, "lone one"), (4, "lone two")]
+    texts = [(1, long.replace(" ", "  ", 2)), (1, other), (2, long + " tail"), (None, other + " tail"), (None, other + " end")]
+    assert show(exact) == sure(*texts, (3, ""), *lone)
+
+    near = corpus_pipeline.join_near(spark, both, sf)
+    assert near.columns == docs.columns
+    got = show(near)
+    of_long = [r for r in got if "w7" in r[1]]
+    assert of_long in (sure((1, long)), sure((1, long.replace(" ", "  ", 2))))
+    assert sorted(r for r in got if r not in of_long) == sure((1, other), (3, ""), (None, ""), (None, None), *lone)
