@@ -134,6 +134,54 @@ def _contexts(t: pa.Table, answers: pa.Table, parts: int) -> np.ndarray:
     return found[np.argsort(found["name"], kind="stable")]
 
 
+def combined(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct context of a bucket once, as the record of its first row, which has its least id.
+
+    ``records`` are sorted by name, their rows ascend by id. Returns them so, the spans of records that
+    an equal context of a smaller id in the bucket covers, and the other records, with the first one they
+    are alike to: what is removed of the first is removed of them.
+    """
+    same = records["name"][1:] == records["name"][:-1]
+    several = np.flatnonzero(np.append(False, same) | np.append(same, False)) if len(records) else np.zeros(0, np.int64)
+    r = records[several]
+    order = np.lexsort((r["start"], r["row"], r["bytes"], r["anchor"], r["name"]))
+    several, r = several[order], r[order]
+    new = np.ones(len(r), bool)
+    new[1:] = (r["name"][1:] != r["name"][:-1]) | (r["anchor"][1:] != r["anchor"][:-1]) | (r["bytes"][1:] != r["bytes"][:-1])
+    more = np.flatnonzero(~new)
+    first = np.flatnonzero(new)[(np.cumsum(new) - 1)[more]]
+    covered = r["id"][more] > r["id"][first]
+    spans = np.zeros(int(covered.sum()), SPAN)
+    for f in SPAN.names:
+        spans[f] = r[f][more[covered]]
+    more, first = more[~covered], first[~covered]
+    alike = np.zeros(len(more), ALIKE)
+    alike["row"], alike["start"], alike["count"] = r["row"][first], r["start"][first], r["length"][first] - LENGTH + 1
+    alike["to_row"], alike["to_start"] = r["row"][more], r["start"][more]
+    keep = np.ones(len(records), bool)
+    keep[several[~new]] = False
+    return records[keep], spans, alike
+
+
+def expanded(spans: np.ndarray, alike: np.ndarray) -> np.ndarray:
+    """The spans, and those that records have in common with the first one they are alike to."""
+    if len(alike) == 0 or len(spans) == 0:
+        return spans
+    at = lambda a: a["row"].astype(np.uint64) << np.uint64(32) | a["start"].astype(np.uint64)
+    alike = alike[np.argsort(at(alike), kind="stable")]
+    firsts, begins, size = np.unique(at(alike), return_index=True, return_counts=True)
+    # each string of a text starts in one context, so the context before a span is the only one it can lie in
+    place = np.searchsorted(firsts, at(spans), side="right") - 1
+    inside = (place >= 0) & (at(spans) - firsts[place] < alike["count"][begins[place]])
+    hit, place = np.flatnonzero(inside), place[inside]
+    n = size[place]
+    member = alike[np.repeat(begins[place], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    hit = spans[np.repeat(hit, n)]
+    more = np.zeros(len(hit), SPAN)
+    more["row"], more["start"], more["length"] = member["to_row"], member["to_start"] + (hit["start"] - member["start"]), hit["length"]
+    return np.append(spans, more)
+
+
 def intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     """The nodes of the common-prefix interval tree with a depth of ``least`` or more, children first.
 
@@ -241,7 +289,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
        that can hold long repeats. Equal contexts become one; the suffixes of the others are sorted, their
        common prefixes scanned into an interval tree, and left-diverse nodes give the repeats with all of
        their occurrences.
-    3. The spans go back to the documents, which are cut in one pass.
+       A bucket of documents sends each distinct context once, so however often a text is repeated, a
+       part sees its contexts at most once per bucket.
+    3. The spans go back to the buckets, which give them to all their equal contexts; the documents are
+       cut in one pass.
 
     Strings are judged on the input and never cross documents. Rows that share an id never remove bytes
     from each other; a NULL id comes after all others. NULL and short texts lose nothing; an empty table
@@ -255,14 +306,21 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if t.num_rows == 0:
             return _NOTHING.empty_table()
         t = ordered(t)
-        r = _contexts(t, o, n)
+        r, spans, alike = combined(_contexts(t, o, n))
         at = cuts(r["name"].astype(np.uint64), n)
         some = np.flatnonzero(at[1:] > at[:-1])
         blocks = [_pack(r[at[i] : at[i + 1]]) for i in some.tolist()]
-        numbers = [some, np.full(len(some), bucket_of(t)), np.diff(at)[some]]
+        sizes = np.diff(at)[some]
+        if len(spans) or len(alike):
+            # what the bucket settles on its own passes by all parts
+            some, sizes = np.append(some, n + bucket_of(t)), np.append(sizes, len(spans))
+            blocks.append(spans.tobytes() + alike.tobytes())
+        numbers = [some, np.full(len(some), bucket_of(t)), sizes]
         return pa.table([*[pa.array(x, pa.int32()) for x in numbers], pa.array(blocks, pa.binary())], schema=_NOTHING)
 
     def meet(t: pa.Table) -> pa.Table:
+        if t.column("_part")[0].as_py() >= n:
+            return pa.table([t.column("_b"), t.column("_n"), t.column("_block")], names=["_b", "_n", "_spans"])
         each = [_unpack(b, n) for b, n in zip(t.column("_block").to_pylist(), t.column("_n").to_pylist())]
         bucket = np.repeat(t.column("_b").to_numpy(), [len(e) for e in each])
         r = np.concatenate(each)
@@ -274,10 +332,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         to, begins = np.unique(bucket[at][order], return_index=True)
         ends = np.append(begins[1:], len(at))
         blocks = [spans[order[a:b]].tobytes() for a, b in zip(begins.tolist(), ends.tolist())]
-        return pa.table([pa.array(to, pa.int32()), pa.array(blocks, pa.binary())], names=["_b", "_spans"])
+        return pa.table([pa.array(to, pa.int32()), pa.array(ends - begins, pa.int32()), pa.array(blocks, pa.binary())], names=["_b", "_n", "_spans"])
 
     sent = dealt.groupBy("_b").cogroup(flags.groupBy("_b")).applyInArrow(send, "_part int, _b int, _n int, _block binary")
-    spans = sent.groupBy("_part").applyInArrow(meet, "_b int, _spans binary")
+    spans = sent.groupBy("_part").applyInArrow(meet, "_b int, _n int, _spans binary")
     schema = pa.schema([(id_col, pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
     if with_text:
         schema = schema.append(pa.field("kept", pa.binary()))
@@ -286,7 +344,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if t.num_rows == 0:
             return schema.empty_table()
         t = ordered(t)
-        s = np.concatenate([np.zeros(0, SPAN), *[np.frombuffer(b, SPAN) for b in o.column("_spans").to_pylist()]])
+        s, alike = [np.zeros(0, SPAN)], [np.zeros(0, ALIKE)]
+        for b, size in zip(o.column("_spans").to_pylist(), o.column("_n").to_pylist()):
+            s.append(np.frombuffer(b, SPAN, size))
+            alike.append(np.frombuffer(b[size * SPAN.itemsize :], ALIKE))
+        s = expanded(np.concatenate(s), np.concatenate(alike))
         s = s[np.argsort(s["row"], kind="stable")]
         edges = np.searchsorted(s["row"], np.arange(t.num_rows + 1))
         out = []
@@ -308,4 +370,6 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 SPAN = np.dtype([("row", "<u4"), ("start", "<u4"), ("length", "<u2")])
+#: The first record of a context in a bucket, how many strings start in it, and a record alike to it.
+ALIKE = np.dtype([("row", "<u4"), ("start", "<u4"), ("count", "<u2"), ("to_row", "<u4"), ("to_start", "<u4")])
 _NOTHING = pa.schema([("_part", pa.int32()), ("_b", pa.int32()), ("_n", pa.int32()), ("_block", pa.binary())])

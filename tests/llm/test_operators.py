@@ -210,6 +210,38 @@ def test_suffix_dedup(odd, rows, nothing, ids_missing):
     assert got == sorted([("1", long, 0), ("1", long, 0), ("1", 12, 0), ("None", long, long), ("None", 0, 0), ("2", long + 5, long), ("None", 12, 0), ("0", 5, 0)])
 
 
+def test_a_bucket_sends_a_context_once(monkeypatch):
+    """However many rows of a bucket hold a text, what goes to the parts does not grow."""
+    pa = __import__("pyarrow")
+    monkeypatch.setattr(suffix_dedup, "read_bits", lambda answers, names, parts: np.ones(len(names), bool))
+    r = random.Random(8)
+    text = "".join(r.choice("abcdefgh ") for _ in range(900))
+    bucket = lambda ids: suffix_dedup.ordered(pa.table({"_id": ids, "_no_id": [False] * len(ids), "_text": [text] * len(ids)}))
+    sent = {}
+    for ids in ([3], [3] * 4 + list(range(4, 300))):
+        found = suffix_dedup._contexts(bucket(ids), None, 1)
+        sent[len(ids)], spans, alike = suffix_dedup.combined(found)
+        assert len(sent[len(ids)]) + len(spans) + len(alike) == len(found)
+    one, many = sent.values()
+    assert len(one) == len(many) > 20 and set(many["id"].tolist()) == {3}
+    assert len(alike) == 3 * len(one) and len(spans) == 296 * len(one)
+
+
+def test_suffix_dedup_of_a_hot_text(spark, monkeypatch):
+    """Copies of one text in many buckets, some under one id, and passages that repeat inside of a text."""
+    monkeypatch.setattr(suffix_dedup, "buckets_for", lambda n: 3)
+    r = random.Random(3)
+    say = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    hot, passage = say(400), say(130)
+    data = [(i, hot) for i in range(5, 60)] + [(100 + i, passage[i:] + say(30) + passage + hot[60 : 200 + i]) for i in range(20)]
+    data += [(2, passage + "x" + passage + "y" + hot[:100] + hot[:100]), (3, say(50) + passage[7:])]
+    df = spark.createDataFrame(data + [(2, data[-2][1])], "doc_id long, text string")
+    want = repeats([(i, t.encode()) for i, t in sorted(data)], 50, bytes)
+    for row in suffix_dedup.remove_repeats(df).collect():
+        n, gone, sha = want[row.doc_id]
+        assert (row.n_bytes, row.n_removed, row.kept_sha256) == (n, len(gone), sha)
+
+
 def test_long_texts_are_cut_into_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 128)
     r = random.Random(4)
