@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +43,8 @@ KNOWN: tuple[tuple[str, str], ...] = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("all-rights-reserved", "All rights reserved."),
+    # full texts in several wrappings and notices of the common licences
+    *((r["license"], r["text"]) for r in map(json.loads, Path(__file__).with_name("known_licenses.jsonl").read_text("utf-8").splitlines())),
 )
 #: Pattern and replacement, applied in this order to lower-case text without punctuation.
 SPELLINGS: tuple[tuple[str, str], ...] = (

@@ -312,6 +312,42 @@ def test_license_scan(odd, rows, nothing, ids_missing):
     assert licenses.scan_licenses(nothing).isEmpty() and licenses.scan_licenses(ids_missing).count() == 8
 
 
+BSD = """Copyright (c) 2021, Jane Doe
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+
+
+def test_licenses_that_the_documents_do_not_hold(spark):
+    full = {n: next(t for k, t in licenses.KNOWN if k == n and len(t) > 5000) for n in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")}
+    data = [(n, t.upper().replace("\n", "  \n")) for n, t in full.items()] + [("BSD-2-Clause", BSD), (None, "some words\n" + BSD)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(data)], "doc_id long, text string")
+    assert {i: v[0] for i, v in result(licenses.scan_licenses(df), "license").items()} == {i: n for i, (n, _) in enumerate(data)}
+    code = "# SPDX-License-Identifier: MPL-2.0\nx = 1\n// Licensed under the BSD 3-Clause License.\nLicensed under CC BY-SA 4.0."
+    df = spark.createDataFrame([(0, code), (1, ""), (2, "SPDX-License-Identifier")], "doc_id long, text string")
+    got = result(licenses.scan_licenses(df), "license", "notices")
+    assert got == {0: (None, ["BSD-3-Clause", "CC-BY-SA-4.0", "MPL-2.0"]), 1: (None, []), 2: (None, [])}
+
+
 def brute_components(rows):
     low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
     sets = {}
