@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from ..session import table
 from . import byte_bpe as b6
 from . import classifier as c2
+from . import collocations as c13
 from . import exact_dedup as e4
 from . import licenses as l8
 from . import mixing as m3
 from . import ngram_join as n9
+from . import positional_index as p12
 from . import quality_rules as q7
 from . import recompression as r10
 from . import suffix_dedup as s5
 from . import token_files as t1
+from . import whitening as w11
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +98,18 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r10.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@register("op11_whitening")
+def whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return w11.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+@register("op12_decontamination", p12.ORACLE)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p12.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_collocations", c13.ORACLE)
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return c13.collocations(table(spark, sf_dir, "documents"))
