@@ -61,7 +61,8 @@ def build_index(docs: DataFrame, terms: DataFrame | None = None, id_col: str = "
     posts = docs.select(*keys(id_col, text_col), F.posexplode(words_of(text_of(text_col))).alias("pos", "term"))
     if terms is not None:
         posts = posts.join(terms, "term", "left_semi")
-    return pin(posts.select(*KEY, "term", "pos").sortWithinPartitions("term"), "postings")
+    # by hash: what matters is that a list is in one piece, and numbers sort faster than words
+    return pin(posts.select(*KEY, "term", "pos").sortWithinPartitions(F.xxhash64("term")), "postings")
 
 
 def term_counts(index: DataFrame) -> DataFrame:
@@ -72,7 +73,8 @@ def pivots(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFra
     """Per window of each item its two rarest terms with their places in the item; windows share most of them.
 
     A window with a word that the corpus lacks cannot occur and has none. In
-    a window of one word both are the same.
+    a window of one word both are the same. Written, so that Spark knows the
+    size of it: a small table meets the index without moving its lists.
     """
     size = F.size("words")
     placed = items.select("item", size.alias("n"), F.posexplode("words").alias("i", "term")).join(counts, "term")
@@ -85,9 +87,8 @@ def pivots(items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFra
         .where(F.size("p") == F.col("length"))
     )
     first, second = F.col("p")[0], F.col("p")[F.least(F.lit(1), F.col("length") - 1)]
-    return listed.select(
-        "item", first["term"].alias("term"), first["i"].alias("i1"), second["term"].alias("term2"), second["i"].alias("i2")
-    ).distinct()
+    pairs = listed.select("item", first["term"].alias("term"), first["i"].alias("i1"), second["term"].alias("term2"), second["i"].alias("i2"))
+    return pin(pairs.distinct(), "pivots")
 
 
 def alignments(index: DataFrame, items: DataFrame, counts: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -110,8 +111,9 @@ def phrase_matches(index: DataFrame, items: DataFrame, counts: DataFrame | None
     """
     counts = term_counts(index) if counts is None else counts
     at = alignments(index, items, counts, window)
+    # the few places asked for, written for their size as well
     asked = at.join(items, "item").select(*KEY, "item", "item_id", "shift", F.size("words").alias("n"), F.posexplode("words").alias("i", "term"))
-    asked = asked.withColumn("pos", F.col("shift") + F.col("i")).where("pos >= 0")
+    asked = pin(asked.withColumn("pos", F.col("shift") + F.col("i")).where("pos >= 0"), "asked")
     found = index.join(asked, [*KEY, "term", "pos"]).select(*KEY, "item", "item_id", "n", "shift", "i").distinct()
     line = W.partitionBy(*KEY, "item", "shift").orderBy("i")  # no more rows than the item has words
     return (
