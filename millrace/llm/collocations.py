@@ -20,53 +20,61 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import pin
-from .common import mix, mix2, no_cycles, pieces, text_of, total_bytes
+from .common import mix, mix2, pieces, text_of, total_bytes
 
 #: Words of the longest phrase, least count, share of a longer phrase at which a shorter one goes (percent), phrases per language.
 WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 #: A leading pair with more than one suffix in so many is dealt out further.
 HOT = 1000
-#: Bytes of text per part of the sorting.
-PART_BYTES = 4 << 20
+#: Bytes of text per part of the sorting, and per block whose equal suffixes are sent once.
+PART_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20
 UNKNOWN = "und"
 
+#: A-Z become small, marks and line ends end a piece, tabs are spaces: one byte for one byte.
 _SMALL = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 10 + b" ")
-EMPTY, CUT = 0, 1
-
-
-class _Ids(dict):
-    """Numbers for words, given when first asked for."""
-
-    def __missing__(self, word):
-        self[word] = n = len(self)
-        return n
-
-
-def _suffixes(langs: list[str], texts: list[str]):
-    """The words of a block, and its distinct suffixes with counts: language, up to three word numbers (0 where the piece ends)."""
-    ids, names, tokens, owner = _Ids({b"": EMPTY, b"\n": CUT}), _Ids(), [], []
-    for lang, text in zip(langs, texts):
-        mine = text.encode("utf-8", "surrogatepass").translate(_SMALL).replace(b"\n", b" \n ").split(b" ")
-        mine.append(b"\n")
-        tokens += mine
-        owner.append((names[lang], len(mine)))
-    numbers = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-    lang = np.repeat(*(np.array(x, np.int64) for x in zip(*owner))) if owner else np.zeros(0, np.int64)
-    there = numbers != EMPTY
-    numbers, lang = numbers[there], lang[there]
-    padded = np.append(numbers, np.full(WORDS, CUT))
-    after = [padded[k : k + len(numbers)] for k in range(WORDS)]
-    for k in range(1, WORDS):  # past the end of its piece a suffix has no words
-        after[k] = np.where((after[k] == CUT) | (after[k - 1] == EMPTY), EMPTY, after[k])
-    word = numbers != CUT
-    keys = np.stack([lang, *after])[:, word]
-    words = sorted(ids, key=ids.get)
-    return list(names), words, *_combined(keys, np.ones(keys.shape[1], np.int64), len(words))
+EMPTY = 0
+
+
+def _translated(texts: pa.Array) -> pa.Array:
+    """The texts as bytes, in small letters and with one kind of separator each."""
+    texts = texts.cast(pa.binary())
+    at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = data.slice(int(at[0]), int(at[-1] - at[0])).to_pybytes().translate(_SMALL) if data is not None else b""
+    return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((at - at[0]).astype(np.int32).tobytes()), pa.py_buffer(data)])
+
+
+def _split(texts: pa.Array, mark: str) -> tuple[pa.Array, np.ndarray]:
+    """The parts of all texts, and which text each is from."""
+    parts = pc.split_pattern(texts, mark)
+    return parts.flatten(), np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
+
+
+def _suffixes(langs: pa.Array, texts: pa.Array):
+    """The languages and words of a block, and its distinct suffixes with their counts.
+
+    A suffix is a column: the number of its language and of up to three words,
+    0 where its piece ends."""
+    names = langs.dictionary_encode()
+    pieces_, text_of_piece = _split(_translated(texts), "\n")
+    words, piece = _split(pieces_, " ")
+    there = pc.not_equal(words, pa.scalar(b"", pa.binary()))
+    words, piece = words.filter(there), piece[there.to_numpy(zero_copy_only=False)]
+    coded = words.dictionary_encode()
+    number = coded.indices.to_numpy().astype(np.int64) + 1
+    lang = names.indices.to_numpy().astype(np.int64)[text_of_piece[piece]]
+    keys = np.zeros((WORDS + 1, len(number)), np.int64)
+    keys[0], keys[1] = lang, number
+    for k in range(1, WORDS):
+        keys[k + 1, :-k] = np.where(piece[k:] == piece[:-k], number[k:], EMPTY)
+    words = pa.concat_arrays([pa.array([b""], pa.binary()), coded.dictionary])
+    return names.dictionary, words, *_combined(keys, np.ones(len(number), np.int64), len(words))
 
 
 def _combined(keys: np.ndarray, counts: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,9 +94,8 @@ def _combined(keys: np.ndarray, counts: np.ndarray, n_words: int) -> tuple[np.nd
 
 
 def _blocks(batches):
-    for piece in pieces(batches, ["_lang", "_text"], "_text"):
-        with no_cycles():
-            yield _suffixes(piece["_lang"].to_pylist(), piece["_text"].to_pylist())
+    for piece in pieces(batches, ["_lang", "_text"], "_text", BLOCK_BYTES):
+        yield _suffixes(piece["_lang"], piece["_text"])
 
 
 def _heads(batches):
@@ -101,9 +108,9 @@ def _heads(batches):
                 some, total = some[:, hot], total[hot]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "lang": pa.array(names, pa.string()).take(pa.array(some[0])),
-                    "w1": pa.array(words, pa.binary()).take(pa.array(some[1])),
-                    "w2": pa.array(words, pa.binary()).take(pa.array(some[2])) if depth == 2 else pa.nulls(len(total), pa.binary()),
+                    "lang": names.take(pa.array(some[0])),
+                    "w1": words.take(pa.array(some[1])),
+                    "w2": words.take(pa.array(some[2])) if depth == 2 else pa.nulls(len(total), pa.binary()),
                     "n": pa.array(total, pa.int64()),
                 }
             )
@@ -112,7 +119,7 @@ def _heads(batches):
 def _names(values) -> np.ndarray:
     import xxhash
 
-    return np.fromiter((xxhash.xxh64_intdigest(v) for v in values), np.uint64, len(values))
+    return np.fromiter(map(xxhash.xxh64_intdigest, values), np.uint64, len(values))
 
 
 def _route(lang: np.ndarray, a: np.ndarray, b: np.ndarray, c: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
@@ -128,33 +135,39 @@ def _dealt(parts: int, hot: np.ndarray):
         for names, words, keys, counts in _blocks(batches):
             two = keys[2] != EMPTY  # a suffix of one word is no phrase
             keys, counts = keys[:, two], counts[two]
-            by_name, by_word = _names([n.encode() for n in names]), _names(words)
+            by_name, by_word = _names(names.to_pylist()), _names(words.to_pylist())
             part = _route(by_name[keys[0]], *(by_word[k] for k in keys[1:]), hot, parts)
             order = np.argsort(part, kind="stable")
             keys, counts, part = keys[:, order], counts[order], part[order]
             at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
-            out = []
-            for lo, hi in zip(at.tolist(), np.append(at[1:], len(part)).tolist()):
-                used, place = np.unique(keys[1:, lo:hi], return_inverse=True)
-                named, lang = np.unique(keys[0, lo:hi], return_inverse=True)
-                listed = pa.array([words[i] for i in used.tolist()], pa.binary())
-                out.append(
-                    {
-                        "_part": int(part[lo]),
-                        "_langs": [names[i] for i in named.tolist()],
-                        "_words": listed.to_pylist(),
-                        "_keys": np.concatenate([lang[None, :], place.reshape(WORDS, -1)]).astype(np.int32).tobytes(),
-                        "_counts": counts[lo:hi].astype(np.int64).tobytes(),
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(out, _SENT)
+            numbers, used, ends = [], [], np.append(at[1:], len(part))
+            place = np.zeros(len(words), np.int32)
+            for lo, hi in zip(at.tolist(), ends.tolist()):
+                own = keys[1:, lo:hi]
+                if 16 * own.size > len(words):  # marking the words is quicker than sorting them, unless they are few
+                    mark = np.zeros(len(words), bool)
+                    mark[own] = True
+                    some = np.flatnonzero(mark)
+                else:
+                    some = np.unique(own)
+                place[some] = np.arange(len(some))
+                used.append(some)
+                numbers.append(np.concatenate([keys[:1, lo:hi].astype(np.int32), place[own]]).tobytes())
+            offsets = np.concatenate([[0], np.cumsum([len(u) for u in used])]).astype(np.int32)
+            listed = words.take(pa.array(np.concatenate(used))) if used else words[:0]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "_part": pa.array(part[at], pa.int32()),
+                    "_langs": pa.array([names.to_pylist()] * len(at), pa.list_(pa.string())),
+                    "_words": pa.ListArray.from_arrays(pa.array(offsets), listed),
+                    "_keys": pa.array(numbers, pa.binary()),
+                    "_counts": pa.array([counts[lo:hi].astype(np.int64).tobytes() for lo, hi in zip(at.tolist(), ends.tolist())], pa.binary()),
+                }
+            )
 
     return deal
 
 
-_SENT = pa.schema([("_part", pa.int32()), ("_langs", pa.list_(pa.string())), ("_words", pa.list_(pa.binary())), ("_keys", pa.binary()), ("_counts", pa.binary())])
-
-
 def quicksort_counts(keys: np.ndarray, weights: np.ndarray, least: int, whole: int = 0):
     """Sort pointers to rows of words by multikey quicksort; equal partitions as ``(depth, pointer, weight)``.
 
@@ -208,32 +221,40 @@ def _sorted(least: int, hot: np.ndarray):
     """Phrases of one part with their counts. Those of hot pairs are counted by third word here, the pair in shares."""
 
     def count(part: pa.Table) -> pa.Table:
-        langs, words, keys, counts = _Ids(), _Ids({b"": EMPTY}), [], []
-        for batch in part.to_batches():
-            for row in batch.to_pylist():
-                k = np.frombuffer(row["_keys"], np.int32).reshape(WORDS + 1, -1)
-                own = np.fromiter(map(words.__getitem__, row["_words"]), np.int64, len(row["_words"]))
-                named = np.fromiter(map(langs.__getitem__, row["_langs"]), np.int64, len(row["_langs"]))
-                keys.append(np.concatenate([named[k[0]][None, :], own[k[1:]]]))
-                counts.append(np.frombuffer(row["_counts"], np.int64))
-        listed, names = sorted(words, key=words.get), list(langs)
-        k, w = _combined(np.concatenate(keys, 1), np.concatenate(counts), len(listed))
-        by_name, by_word = _names([n.encode() for n in names]), _names(listed)
-        split = np.isin(mix2(mix2(by_name[k[0]], by_word[k[1]]), by_word[k[2]]), hot)
+        part = part.combine_chunks()
+        coded, words_at = _numbered(part.column("_words"), pa.binary(), b"")
+        named, names_at = _numbered(part.column("_langs"), pa.string(), "")
+        keys, counts = [], []
+        for i, (k, n) in enumerate(zip(part.column("_keys").to_pylist(), part.column("_counts").to_pylist())):
+            k = np.frombuffer(k, np.int32).reshape(WORDS + 1, -1)
+            keys.append(np.concatenate([named[0][names_at[i] + k[:1]], coded[0][words_at[i] + k[1:]]]))
+            counts.append(np.frombuffer(n, np.int64))
+        names, words = named[1], coded[1]
+        k, w = _combined(np.concatenate(keys, 1), np.concatenate(counts), len(words))
+        split = np.zeros(k.shape[1], bool)
+        if len(hot):
+            by_name, by_word = _names(names.to_pylist()), _names(words.to_pylist())
+            split = np.isin(mix2(mix2(by_name[k[0]], by_word[k[1]]), by_word[k[2]]), hot)
         found = []
         for mine, limit in ((~split, least), (split, 1)):  # a share of a hot pair may be small
             at = np.flatnonzero(mine)
             found += [(d - 1, int(at[p]), n) for d, p, n in quicksort_counts(k[:, at], w[at], limit, 1) if d > 2]
-        text = lambda i: listed[i].decode("utf-8", "surrogatepass")
-        rows = [(names[k[0, p]], text(k[1, p]), text(k[2, p]), text(k[3, p]) if d == 3 else None, n) for d, p, n in found]
-        columns = list(zip(*rows)) if rows else [[]] * 5
-        return pa.table(
-            {c: pa.array(v, pa.int64() if c == "n" else pa.string()) for c, v in zip(("lang", "w1", "w2", "w3", "n"), columns)}
-        )
+        depth, p, n = (np.array(x, np.int64) for x in zip(*found)) if found else [np.zeros(0, np.int64)] * 3
+        take = lambda of: words.take(pa.array(of)).cast(pa.string())
+        third = pa.array(k[3, p], mask=depth < 3)
+        return pa.table({"lang": names.take(pa.array(k[0, p])), "w1": take(k[1, p]), "w2": take(k[2, p]), "w3": words.take(third).cast(pa.string()), "n": n})
 
     return count
 
 
+def _numbered(lists: pa.ChunkedArray, kind: pa.DataType, first):
+    """Numbers of all listed values with the different values, ``first`` being 0; and where each list starts."""
+    chunks = [c.flatten().cast(kind) for c in lists.chunks]
+    sizes = np.concatenate([np.diff(c.offsets.to_numpy()) for c in lists.chunks])
+    flat = pa.concat_arrays([pa.array([first], kind), *chunks]).dictionary_encode()
+    return (flat.indices.to_numpy().astype(np.int64)[1:], flat.dictionary), np.cumsum(sizes) - sizes
+
+
 def count_phrases(docs: DataFrame, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """Counts of all single words, and of all phrases of two and three words that come ``least`` times or more.
 
