@@ -114,7 +114,9 @@ def phrase_matches(index: DataFrame, items: DataFrame, counts: DataFrame | None
     # the few places asked for, written for their size as well
     asked = at.join(items, "item").select(*KEY, "item", "item_id", "shift", F.size("words").alias("n"), F.posexplode("words").alias("i", "term"))
     asked = pin(asked.withColumn("pos", F.col("shift") + F.col("i")).where("pos >= 0"), "asked")
-    found = index.join(asked, [*KEY, "term", "pos"]).select(*KEY, "item", "item_id", "n", "shift", "i").distinct()
+    # few documents have an alignment: the index is cut to theirs before the lists meet
+    some = pin(at.select(*KEY).distinct(), "aligned")
+    found = index.join(some, list(KEY), "left_semi").join(asked, [*KEY, "term", "pos"]).select(*KEY, "item", "item_id", "n", "shift", "i").distinct()
     line = W.partitionBy(*KEY, "item", "shift").orderBy("i")  # no more rows than the item has words
     return (
         found.withColumn("run", F.col("i") - F.row_number().over(line))
