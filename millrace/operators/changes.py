@@ -90,7 +90,8 @@ def _rank(kind: Column) -> Column:
     return F.when(kind == "update_preimage", 0).when(kind == "delete", 1).otherwise(2)
 
 
-def _last_images(log: DataFrame, keys: list[str]) -> DataFrame:
+def last_images(log: DataFrame, keys: list[str]) -> DataFrame:
+    """The last image of every key in some change rows, with how it came about."""
     values = [c for c in log.columns if c not in META]
     at = F.struct("_commit_version", _rank(F.col("_change_type")))
     return (
@@ -109,7 +110,7 @@ def as_of(log: DataFrame, keys: list[str], version: int | None = None, timestamp
         log = log.where(F.col("_commit_version") <= version)
     if timestamp is not None:
         log = log.where(F.col("_commit_timestamp") <= F.lit(timestamp).cast("timestamp"))
-    return _last_images(log, keys).where("_change_type <> 'delete'").drop(*META)
+    return last_images(log, keys).where("_change_type <> 'delete'").drop(*META)
 
 
 def apply_feed(target: DataFrame, feed: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,7 +120,7 @@ def apply_feed(target: DataFrame, feed: DataFrame, keys: list[str]) -> DataFrame
     commits; preimages are skipped."""
     from .merge import delete, insert
 
-    last = _last_images(feed, keys)
+    last = last_images(feed, keys)
     clauses = [delete("s._change_type = 'delete'"), update(), insert(when="s._change_type <> 'delete'")]
     return merge(target, last, keys, clauses, check=False, keyed=True)
 
@@ -137,13 +138,17 @@ def history(log: DataFrame) -> DataFrame:
         n("update_postimage").alias("updated"),
         n("delete").alias("deleted"),
     )
-    operation = (
+    return counts.withColumn("operation", operation())
+
+
+def operation() -> Column:
+    """What kind of commit it was, from its counts."""
+    return (
         F.when((F.col("updated") == 0) & (F.col("deleted") == 0), "INSERT")
         .when((F.col("inserted") == 0) & (F.col("deleted") == 0), "UPDATE")
         .when((F.col("inserted") == 0) & (F.col("updated") == 0), "DELETE")
         .otherwise("MERGE")
     )
-    return counts.withColumn("operation", operation)
 
 
 def restore(log: DataFrame, keys: list[str], version: int, new_version: int, timestamp: Column) -> DataFrame:
