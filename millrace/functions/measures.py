@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,28 @@ def count_when(condition: Column) -> Column:
     return F.count(F.when(condition, 1))
 
 
+# Measures of any table of sales lines, by name: what is asked for is one aggregate over the lines.
+
+def line_measures(amount: str, order: str, buyer: str, at: str, units: str = "quantity") -> dict[str, Column]:
+    """Measures over lines with an amount, an order id, a buyer, a time and a number of units."""
+    revenue = money_sum(amount)
+    return {
+        "revenue": revenue,
+        "units": F.sum(units),
+        "lines": F.count(order),
+        "orders": F.count_distinct(F.col(order)),
+        "buyers": F.count_distinct(F.col(buyer)),
+        "first_day": F.to_date(F.min(at)),
+        "last_day": F.to_date(F.max(at)),
+        "mean_line": money_avg(amount),
+    }
+
+
+def measured(df: DataFrame, by: list[str], measures: dict[str, Column], wanted: dict[str, str]) -> DataFrame:
+    """Group by ``by``; ``wanted`` maps the names of result columns to measures."""
+    return df.groupBy(*by).agg(*[measures[m].alias(name) for name, m in wanted.items()])
+
+
 # The measures of the sales star (columns net_sales, gross_margin, quantity, order_id).
 
 def total_revenue() -> Column:

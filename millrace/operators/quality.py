@@ -51,6 +51,27 @@ def _all_pass(constraints: list[Constraint]) -> Column:
     return out
 
 
+def _first_broken(constraints: list[Constraint]) -> Column:
+    bad = F.lit(None).cast("string")
+    for c in reversed(constraints):
+        bad = F.when(~c.passed(), F.lit(c.name)).otherwise(bad)
+    return bad
+
+
+def asserted(df: DataFrame, constraints: list[Constraint], keep: Column | None = None) -> DataFrame:
+    """``df`` with the constraints as part of its plan: computing a row that violates one fails the job.
+
+    The message names the first constraint that the row violates.  ``keep``
+    filters the rows that pass; it is one condition with the assertion, so no
+    filter can hide a row from it."""
+    keep = F.lit(True) if keep is None else keep
+    if not constraints:
+        return df.where(keep)
+    bad = _first_broken(constraints)
+    stop = F.raise_error(F.concat(F.lit("violating rows: "), bad)).cast("boolean")
+    return df.where(F.when(bad.isNull(), keep).otherwise(stop))
+
+
 def split_valid(df: DataFrame, constraints: list[Constraint]) -> tuple[DataFrame, DataFrame]:
     """Rows that satisfy all constraints, and the others."""
     ok = _all_pass(constraints)
@@ -119,12 +140,18 @@ def expect(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
     return kept, metrics
 
 
-def keep_expected(stream: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The drop rules alone, for streaming plans."""
+def enforce(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Drop and fail rules as part of a plan, batch or streaming; a row is judged before it is dropped."""
+    keep = F.lit(True)
     for r in rules:
         if r.on_fail == "drop":
-            stream = stream.where(r.passed())
-    return stream
+            keep = keep & r.passed()
+    return asserted(df, [Constraint(r.name, r.condition) for r in rules if r.on_fail == "fail"], keep)
+
+
+def keep_expected(stream: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rules for a plan that is not counted; see ``streaming.expectations`` for one that is."""
+    return enforce(stream, rules)
 
 
 def quality_score(checks: list[Column]) -> Column:

@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     aggregates,
     files,
     joins,
+    late,
     plans,
     rows,
     star,

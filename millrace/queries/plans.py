@@ -178,6 +178,91 @@ def retail_stores(t):
     return R.clean_stores(stores)
 
 
+@query("retail_sales", "B3 Q5", f"SELECT transaction_id, customer_id, product_id, store_id, quantity, total_amount, CAST(event_time AS DATE) AS date FROM {SALES_SQL} WHERE quantity > 0 AND discount_applied >= 0")
+def retail_sales_valid(t):
+    sales = R.silver_sales(retail_stream(t))[0]
+    return appended(t, sales.select("transaction_id", "customer_id", "product_id", "store_id", "quantity", "total_amount", "date"), "sales")
+
+
+def product_changes(t):
+    """Every product, a new price for some, a bad price for others, which no rule lets through."""
+    base = t.part.selectExpr("p_partkey as product_id", "p_name as name", "p_type as category", "p_brand as brand", "p_retailprice as price")
+    none = {c: F.lit(None).cast("string") for c in ("name", "category", "brand")}
+    later = base.where("product_id % 4 < 2").withColumns(none).withColumn("price", F.when(F.col("product_id") % 4 == 0, F.col("price") + 1).otherwise(-1.0))
+    at = lambda df, day: df.withColumn("last_update_time", F.lit(day).cast("timestamp"))
+    return at(base, "2024-01-01").unionByName(at(later, "2024-03-01"))
+
+
+PRODUCTS_SQL = """(SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_brand AS brand, p_retailprice AS price, TIMESTAMP '2024-01-01' AS "__START_AT",
+    CASE WHEN p_partkey % 4 = 0 THEN TIMESTAMP '2024-03-01' END AS "__END_AT" FROM part WHERE p_retailprice > 0 AND p_retailprice < 10000
+  UNION ALL SELECT p_partkey, p_name, p_type, p_brand, p_retailprice + 1, TIMESTAMP '2024-03-01', NULL FROM part WHERE p_partkey % 4 = 0 AND p_retailprice > 0 AND p_retailprice < 9999)"""
+
+
+@query("retail_product_history", "B3 M13 Q5", f"SELECT * FROM {PRODUCTS_SQL}")
+def retail_product_history(t):
+    out = R.dimension_history(product_changes(t), "product_id", ["name", "category", "brand", "price"], R.PRODUCT_RULES)
+    return naive(out, "__START_AT", "__END_AT")
+
+
+def store_changes(t):
+    """Every store; those of some nations get a manager, others a new name."""
+    base = t.supplier.selectExpr("s_suppkey as store_id", "s_name as name", "concat('M', s_nationkey) as manager", "s_nationkey as n")
+    later = base.where("n % 3 < 2").select(
+        "store_id", F.expr("if(n % 3 = 0, concat(name, ' new'), null)").alias("name"), F.expr("if(n % 3 = 1, 'Somebody', null)").alias("manager")
+    )
+    at = lambda df, day: df.withColumn("last_update_time", F.lit(day).cast("timestamp"))
+    return at(base.drop("n"), "2024-01-01").unionByName(at(later, "2024-02-01"))
+
+
+STORES_SQL = """(SELECT s_suppkey AS store_id, s_name AS name, 'M' || s_nationkey AS manager, TIMESTAMP '2024-01-01' AS "__START_AT",
+    CASE WHEN s_nationkey % 3 < 2 THEN TIMESTAMP '2024-02-01' END AS "__END_AT" FROM supplier
+  UNION ALL SELECT s_suppkey, CASE WHEN s_nationkey % 3 = 0 THEN s_name || ' new' ELSE s_name END, CASE WHEN s_nationkey % 3 = 1 THEN 'Somebody' ELSE 'M' || s_nationkey END,
+    TIMESTAMP '2024-02-01', NULL FROM supplier WHERE s_nationkey % 3 < 2)"""
+
+
+@query("retail_store_history", "B3 M13", f"SELECT * FROM {STORES_SQL}")
+def retail_store_history(t):
+    out = R.dimension_history(store_changes(t), "store_id", ["name", "manager"], R.STORE_RULES)
+    return naive(out, "__START_AT", "__END_AT")
+
+
+@query(
+    "retail_facts_refreshed",
+    "B4 B3 T12 T14",
+    f"""SELECT transaction_id, store_id, CASE WHEN s_nationkey % 3 = 0 AND event_time >= TIMESTAMP '1998-01-01' THEN s_name || ' new' ELSE s_name END AS store_name,
+      p_name AS product_name, x.name AS customer_name, quantity
+    FROM {SALES_SQL} s LEFT JOIN supplier ON store_id = s_suppkey LEFT JOIN (SELECT * FROM part WHERE p_retailprice > 0 AND p_retailprice < 10000) ON product_id = p_partkey
+      LEFT JOIN {CUSTOMERS_SQL} x ON s.customer_id = x.customer_id WHERE quantity > 0 AND discount_applied >= 0""",
+)
+def retail_facts_refreshed(t):
+    """Sales joined to current versions. Between two runs of the stream stores get new names: later sales show them."""
+    root = work_dir(t.spark, "refreshed")
+    stores, products, people = store_changes(t), product_changes(t), customer_changes(t)
+
+    def current(changes, key, track, rules):
+        return S.current(R.dimension_history(changes, key, track, rules))
+
+    def publish(until):
+        rows = current(stores.where(F.col("last_update_time") <= F.lit(until)), "store_id", ["name", "manager"], R.STORE_RULES)
+        rows.write.parquet(f"{root}/stores/{until}")
+
+    current(products, "product_id", ["name", "category", "brand", "price"], R.PRODUCT_RULES).write.parquet(f"{root}/products")
+    current(people, "customer_id", ["name", "tier"], R.CUSTOMER_RULES).write.parquet(f"{root}/customers")
+    sold = retail_sales(t)
+    border = "timestamp'1998-01-01'"
+    for until, some in (("2024-01-01", sold.where(f"event_time < {border}")), ("2024-02-01", sold.where(f"event_time >= {border}"))):
+        publish(until)
+        some.write.mode("append").parquet(f"{root}/sales")
+        read = t.spark.read.parquet
+
+        def dimensions(until=until):
+            return read(f"{root}/stores/{until}"), read(f"{root}/customers"), read(f"{root}/products")
+
+        sales, _ = R.silver_sales(R.clean_sales(stream_table(t.spark, f"{root}/sales")))
+        R.refreshed_facts(sales, dimensions, f"{root}/facts", f"{root}/checkpoint")
+    return t.spark.read.parquet(f"{root}/facts").select("transaction_id", "store_id", "store_name", "product_name", "customer_name", "quantity")
+
+
 FACTS_SQL = f"""(SELECT s.transaction_id, s.event_time, s.customer_id, c.c_name AS customer_name, s.product_id, p.p_name AS product_name, p.p_type AS product_category,
   s.store_id, u.s_name AS store_name, s.quantity, s.total_amount, s.discount_applied FROM {SALES_SQL} s LEFT JOIN supplier u ON store_id = s_suppkey
   LEFT JOIN customer c ON customer_id = c_custkey LEFT JOIN (SELECT * FROM part WHERE p_retailprice < 1000) p ON product_id = p_partkey

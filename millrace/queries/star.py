@@ -166,9 +166,8 @@ DRIVERS = f""", c AS {growth_sql('region, category')}, dec AS (SELECT region, CA
   g AS (SELECT r.*, round_even(revenue_delta * 100 / decline, 1) AS contribution_to_gap_pct, format('{{:,}}', CAST(round_even(revenue_prior, 0) AS BIGINT)) AS pr, format('{{:,}}', CAST(round_even(revenue_current, 0) AS BIGINT)) AS cu,
     format('{{:,}}', CAST(abs(round_even(revenue_delta, 0)) AS BIGINT)) AS de FROM r JOIN dec USING (region) WHERE rank <= 8),
   ins AS (SELECT region, '{MONTH}' AS year_month, rank, driver_type, dimension_value, round_even(revenue_current, 0) AS revenue_current, round_even(revenue_prior, 0) AS revenue_prior, round_even(revenue_delta, 0) AS revenue_delta,
-    contribution_to_gap_pct, CASE WHEN driver_type = 'CATEGORY' THEN dimension_value || ' in ' || region || CASE WHEN revenue_delta < 0 THEN ' fell' ELSE ' grew' END || ' from $' || pr || ' to $' || cu
-      || CASE WHEN revenue_delta < 0 THEN ' (-$' ELSE ' (+$' END || de || ' month over month, ' || CAST(CAST(round_even(abs(COALESCE(contribution_to_gap_pct, 0)), 0) AS BIGINT) AS VARCHAR) || '% of the region''s decline).'
-    ELSE dimension_value || ' (' || category || ') in ' || region || ' fell from $' || pr || ' to $' || cu || ' (-$' || de || ' MoM).' END AS insight FROM g)"""
+    contribution_to_gap_pct, region || ' / ' || category || CASE WHEN driver_type = 'PRODUCT' THEN ' / ' || dimension_value ELSE '' END || ': ' || CASE WHEN revenue_delta < 0 THEN 'down $' ELSE 'up $' END || de
+      || ', $' || pr || ' before, $' || cu || ' now; ' || CAST(CAST(round_even(abs(COALESCE(contribution_to_gap_pct, 0)), 0) AS BIGINT) AS VARCHAR) || '% of all losses' AS insight FROM g)"""
 
 
 @query("star_gap_drivers", "B25 W7", sql(f"{DRIVERS} SELECT * FROM ins"))
@@ -193,27 +192,24 @@ def star_discount_what_if(t):
     return S.discount_what_if(star(t), 15)
 
 
-def functions(t):
-    s = star(t)
-    S.create_functions(t.spark, s, S.gap_drivers(s, MONTH, BEFORE))
+def insights(t):
+    return S.gap_drivers(star(t), MONTH, BEFORE)
 
 
 @query("star_simulate_discount", "V4", sql(f"SELECT {WHAT_IF_COLUMNS} FROM {WHAT_IF} WHERE product_id = 'SKU-42'"))
 def star_simulate_discount(t):
-    functions(t)
+    S.create_simulation(t.spark, star(t))
     return t.spark.sql("SELECT * FROM simulate_discount('SKU-42', 15)")
 
 
 @query("star_top_drivers", "V5", sql(f"{DRIVERS} SELECT rank, driver_type, dimension_value, revenue_current, revenue_prior, revenue_delta, contribution_to_gap_pct, insight FROM ins WHERE region = 'ASIA'"))
 def star_top_drivers(t):
-    functions(t)
-    return t.spark.sql("SELECT * FROM top_drivers('ASIA')")
+    return S.drivers_of(insights(t), "ASIA")
 
 
 @query("star_explain_driver", "V6", sql(f"{DRIVERS} SELECT MAX(insight) AS explanation FROM ins WHERE region = 'ASIA' AND rank = 1"))
 def star_explain_driver(t):
-    functions(t)
-    return t.spark.sql("SELECT * FROM explain_driver('ASIA', 1)")
+    return S.explanation(insights(t), "ASIA", 1)
 
 
 @query(

@@ -6,7 +6,10 @@ from ..operators import changes as C
 from ..operators import merge as M
 from ..operators import quality as Q
 from ..operators import scd as S
-from ..session import pin
+from ..operators.windows import top_n
+from ..session import pin, work_dir
+from ..sources import guarded as G
+from ..sources.versioned import VersionedTable
 from .joins import CUSTOMERS_SQL, customers
 from .registry import query
 
@@ -331,6 +334,15 @@ def change_log(t):
     return pin(v0.unionByName(v1).unionByName(v2).unionByName(v3), "log")
 
 
+def stored(t, every=2):
+    """The same four commits as a table of its own, with a snapshot every two versions."""
+    log = change_log(t)
+    table = VersionedTable.create(C.as_of(C.changes(log, 0, 0), KEY), work_dir(t.spark, "versioned"), KEY, day(1), every)
+    for version in (1, 2, 3):
+        table.append_feed(C.changes(log, version, version))
+    return table
+
+
 def naive(df):
     return df.withColumn("_commit_timestamp", F.col("_commit_timestamp").cast("timestamp_ntz"))
 
@@ -359,18 +371,19 @@ def feed_diff_of_states(t):
 
 @query("feed_apply", "D3", f"SELECT * FROM {state_sql(3)}")
 def feed_apply(t):
-    log = change_log(t)
-    return C.apply_feed(C.as_of(log, KEY, version=0), C.changes(log, 1), KEY)
+    table = stored(t)
+    return table.apply_to(table.state(0), since=0)
 
 
 @query("state_at_version", "V-1", f"SELECT * FROM {state_sql(2)}")
 def state_at_version(t):
-    return C.as_of(change_log(t), KEY, version=2)
+    """A snapshot of version 0 and the two commits after it."""
+    return stored(t, every=10).state(2)
 
 
 @query("state_at_time", "V-2", f"SELECT * FROM {state_sql(1)}")
 def state_at_time(t):
-    return C.as_of(change_log(t), KEY, timestamp="2024-01-02 12:00:00")
+    return stored(t).state(timestamp="2024-01-02 12:00:00")
 
 
 @query("commit_history", "V-3", f"""SELECT _commit_version, MAX(_commit_timestamp) AS _commit_timestamp,
@@ -378,37 +391,38 @@ def state_at_time(t):
     COUNT(*) FILTER (_change_type = 'delete') AS deleted,
     CASE _commit_version WHEN 2 THEN 'UPDATE' WHEN 3 THEN 'DELETE' ELSE 'INSERT' END AS operation FROM {LOG_SQL} GROUP BY _commit_version""")
 def commit_history(t):
-    return naive(C.history(change_log(t)))
+    return naive(stored(t).history())
 
 
 @query("restore_version", "V-4", f"SELECT * FROM {state_sql(1)}")
 def restore_version(t):
-    log = change_log(t)
-    return C.as_of(log.unionByName(C.restore(log, KEY, 1, 4, day(5))), KEY)
+    table = stored(t)
+    table.restore(1, day(5))
+    return table.state()
 
 
 @query("versions_changed_keys", "V-5", f"""SELECT DISTINCT o_orderkey FROM ((SELECT * FROM {state_sql(1)} EXCEPT SELECT * FROM {state_sql(3)})
     UNION (SELECT * FROM {state_sql(3)} EXCEPT SELECT * FROM {state_sql(1)}))""")
 def versions_changed_keys(t):
-    return C.changed_keys(change_log(t), KEY, 1, 3)
+    return stored(t).changed_keys(1, 3)
 
 
 @query("audit_first_seen", "V-6", f"""SELECT o_orderkey, MIN(_commit_version) AS first_version FROM {LOG_SQL}
     WHERE _change_type IN ('insert', 'update_postimage') AND amount > 490000 GROUP BY o_orderkey""")
 def audit_first_seen(t):
-    return C.first_seen(change_log(t), KEY, "amount > 490000")
+    return C.first_seen(stored(t).log(), KEY, "amount > 490000")
 
 
 @query("undo_selected_rows", "V-7", f"""SELECT n.o_orderkey, n.o_custkey, CASE WHEN n.status = 'F' AND n.amount < 100000 AND o.o_orderkey IS NOT NULL THEN o.amount ELSE n.amount END AS amount, n.status
     FROM {state_sql(3)} n LEFT JOIN {state_sql(0)} o ON n.o_orderkey = o.o_orderkey""")
 def undo_selected_rows(t):
-    return C.undo_where(change_log(t), KEY, 0, "t.status = 'F' and t.amount < 100000")
+    return stored(t).undo_where(0, "t.status = 'F' and t.amount < 100000")
 
 
 @query("report_at_version", "V-8", f"""SELECT status, COUNT(*) AS orders, CAST(SUM(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
     FROM {state_sql(1)} GROUP BY status""")
 def report_at_version(t):
-    return C.as_of(change_log(t), KEY, version=1).groupBy("status").agg(
+    return stored(t).state(1).groupBy("status").agg(
         F.count(F.lit(1)).alias("orders"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total_amount")
     )
 
@@ -416,7 +430,30 @@ def report_at_version(t):
 @query("expire_history", "V-9", f"""SELECT o_orderkey, o_custkey, amount, status, 'insert' AS _change_type, CAST(2 AS BIGINT) AS _commit_version,
     TIMESTAMP '2024-01-03' AS _commit_timestamp FROM {state_sql(2)} UNION ALL SELECT * FROM {LOG_SQL} WHERE _commit_version > 2""")
 def expire_history(t):
-    return naive(C.expire(change_log(t), KEY, 2))
+    table = stored(t, every=3)
+    table.expire(2)
+    return naive(table.log())
+
+
+LINES_SQL = "(SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem QUALIFY ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_quantity) = 1)"
+
+
+@query("versioned_merges", "V-1 M1 D2", f"""SELECT 0 AS version, l_returnflag, COUNT(*) AS lines, CAST(SUM(l_quantity) AS DOUBLE) AS quantity FROM {LINES_SQL} WHERE l_returnflag <> 'A' GROUP BY ALL
+    UNION ALL SELECT 3, l_returnflag, COUNT(*), CAST(SUM(CASE WHEN l_returnflag = 'R' THEN l_quantity + 100 ELSE l_quantity END) AS DOUBLE)
+    FROM {LINES_SQL} WHERE NOT (l_returnflag = 'N' AND l_quantity > 25) GROUP BY ALL""")
+def versioned_merges(t):
+    """Three merges into a table of all order lines; the first state and the newest, both from snapshots."""
+    keys = ["l_orderkey", "l_linenumber"]
+    rows = pin(top_n(t.lineitem, keys, ["l_partkey", "l_quantity"], 1).select(*keys, "l_returnflag", "l_quantity"), "lines")
+    table = VersionedTable.create(rows.where("l_returnflag <> 'A'"), work_dir(t.spark, "lines"), keys, day(1), every=2)
+    table.merge(rows.where("l_returnflag = 'A'"), day(2), [M.insert()])
+    table.merge(rows.where("l_returnflag = 'R'"), day(3), [M.update({"l_quantity": "t.l_quantity + 100"})])
+    table.merge(rows.where("l_returnflag = 'N' and l_quantity > 25"), day(4), [M.delete()])
+    out = [
+        table.state(v).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").cast("double").alias("quantity")).select(F.lit(v).alias("version"), "*")
+        for v in (0, 3)
+    ]
+    return out[0].unionByName(out[1])
 
 
 # -- constraints and conditional writes ----------------------------------
@@ -433,6 +470,44 @@ def constraint_violations(t):
     return Q.violations(t.orders, rules)
 
 
+@query("constrained_writes", "Q1 Q2 Q3 K3", """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'O' AND o_totalprice > 50000""")
+def constrained_writes(t):
+    """Constraints stored with a table of orders. The batch with cheap orders is refused whole, the one without is taken."""
+    path = work_dir(t.spark, "constrained")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus")
+    rows.where("o_orderstatus = 'O'").write.parquet(path)
+    G.add_constraint(t.spark, path, Q.Constraint.not_null("o_custkey"))
+    G.add_constraint(t.spark, path, Q.Constraint.check("some_price", "o_totalprice > 0"))
+    G.add_constraint(t.spark, path, Q.Constraint.check("real_price", "o_totalprice > 50000 or o_orderstatus = 'O'"))
+    rest = rows.where("o_orderstatus <> 'O'")
+    try:
+        G.append(rest, path)
+    except Exception as refused:
+        if "violating rows: real_price" not in str(refused):
+            raise
+    G.append(rest.where("o_totalprice > 50000"), path)
+    return t.spark.read.parquet(path)
+
+
+@query("constrained_merge", "Q1 Q3 M1", """SELECT o_orderkey, o_orderstatus, o_totalprice + CASE WHEN o_orderpriority = '1-URGENT' THEN 1000 ELSE 0 END AS o_totalprice FROM orders""")
+def constrained_merge(t):
+    """A merge that would break a constraint of its table leaves it as it is; one that would not goes through."""
+    path = work_dir(t.spark, "constrained")
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    rows.write.partitionBy("o_orderstatus").parquet(path)
+    G.add_constraint(t.spark, path, Q.Constraint.check("some_price", "o_totalprice > 0"))
+    urgent = t.orders.where("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_orderstatus")
+    on, by = ["o_orderkey", "o_orderstatus"], ["o_orderstatus"]
+    try:
+        G.merge_into(path, urgent, on, by, [M.update({"o_totalprice": "-t.o_totalprice"})])
+    except Exception as refused:
+        if "violating rows: some_price" not in str(refused):
+            raise
+    G.merge_into(path, urgent, on, by, [M.update({"o_totalprice": "t.o_totalprice + 1000"})])
+    return t.spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice")
+
+
 RULES = [
     Q.Rule("valid_customer", "o_custkey is not null", "drop"),
     Q.Rule("real_price", "o_totalprice > 2000", "drop"),

@@ -105,20 +105,25 @@ def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> Non
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
-def merge_into(path: str, source: DataFrame, on: list[str], partition_by: list[str], clauses=UPSERT, **options) -> None:
+def merge_into(
+    path: str, source: DataFrame, on: list[str], partition_by: list[str], clauses=UPSERT, check_rows=None, **options
+) -> None:
     """Merge into a partitioned table, rewriting only the partitions the source touches.
 
     The partition columns must be among ``on``, so that a key never moves to
     another partition.  The table is joined to the partitions of the source,
     whose ranges also prune the read; all other partitions are neither read nor
     written.  A partition that the merge empties loses its folder.  Repeating
-    a merge that broke off gives the same table."""
+    a merge that broke off gives the same table, unless an update builds on the
+    old value: then it may count twice.  ``check_rows`` is applied to the rows
+    before any is replaced."""
     if not set(partition_by) <= set(on):
         raise ValueError("partition columns must be part of the key")
     spark = source.sparkSession
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
     old = _touched(spark.read.parquet(path).withColumn("_folder", folder), source, partition_by)
-    result = pin(merge(old.drop("_folder"), source, on, clauses, **options), "merged")
+    merged = merge(old.drop("_folder"), source, on, clauses, **options)
+    result = pin(check_rows(merged) if check_rows else merged, "merged")
     left = result.select(*[F.col(c).alias(f"_s_{c}") for c in partition_by]).distinct()
     folders = old.select(*partition_by, "_folder").distinct()
     emptied = pin(folders.join(left, _same_partition(partition_by), "left_anti").select("_folder"), "emptied")

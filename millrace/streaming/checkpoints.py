@@ -19,6 +19,27 @@ def progress_row(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     return spark.createDataFrame([row], "name string, id string, batches int, input_rows bigint, watermark string")
 
 
+STATE = "run int, batch_id long, rows_in long, rows_late long, rows_evicted long, rows_in_state long, watermark string"
+
+
+def state_rows(spark: SparkSession, runs: list[StreamingQuery]) -> DataFrame:
+    """Per run and batch: input rows, rows behind the watermark, rows that left the state and rows in it.
+
+    Added over the state operators of a query; an aggregation counts rows
+    after it has combined those of one task."""
+    out = []
+    for i, query in enumerate(runs):
+        for p in query.recentProgress:
+            p = json.loads(p.json) if hasattr(p, "json") else p
+            held = p.get("stateOperators", [])
+            total = lambda name: sum(int(s.get(name, 0)) for s in held)  # noqa: E731, B023
+            out.append(
+                (i, int(p["batchId"]), int(p["numInputRows"]), total("numRowsDroppedByWatermark"), total("numRowsRemoved"), total("numRowsTotal"),
+                 p.get("eventTime", {}).get("watermark"))
+            )
+    return spark.createDataFrame(out, STATE)
+
+
 def active_queries(spark: SparkSession) -> DataFrame:
     """Queries that run now."""
     rows = [(q.name, str(q.id), q.status.get("message")) for q in spark.streams.active]

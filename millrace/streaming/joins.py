@@ -18,8 +18,8 @@ def stream_enrich(
 ) -> DataFrame:
     """Join a stream to a static table, which each run reads anew.
 
-    ``where`` filters the table before the join.  The table is broadcast when a
-    count has shown it to be small.  The stream must stay on the preserved
+    ``where`` filters the table before the join.  Whether the table is broadcast is left
+    to Spark's own check of its size.  The stream must stay on the preserved
     side, so right and full outer joins are refused."""
     if how not in ("inner", "left", "left_outer", "left_semi"):
         raise ValueError(f"{how} join would have to emit table rows that no stream row matches, which never is certain")
