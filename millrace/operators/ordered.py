@@ -1,12 +1,12 @@
-"""Ordered per-group calculations that survive a group too large for one task.
-
-A plain window puts all rows of a group into one task.  ``Ordered`` first counts
-the rows per group (a map-side combined aggregate).  When every group is small
-it uses plain windows.  Otherwise it range-partitions the rows by group and
-order into segments, fixes that layout in the shared folder, runs the same
-window inside each (group, segment) and adds what earlier segments of the group
-carry over.  Only a group that crosses a segment boundary has a carry, so the
-carry table never has more rows than there are segments.
+"""Ordered per-group calculations, the same whether a group fits one task or not.
+
+A plain window puts all rows of a group into one task.  ``Ordered`` sorts the
+rows by group and order over all tasks instead, which cuts them into segments,
+fixes that layout in the shared folder, runs the window inside each (group,
+segment) and adds what earlier segments of the group carry over.  How many
+segments there are follows the bytes that Spark has shuffled; nothing is
+counted beforehand.  All columns that do not build on each other share one
+window, one summary of the segments and one join with what they carry.
 """
 
 from __future__ import annotations
@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-#: A group above this many rows is split over several tasks.
-ROWS_PER_TASK = 5_000_000
-
 _SEG = "_segment"
 
 
@@ -30,13 +27,6 @@ def ordering(order: list[str]) -> list[Column]:
     return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order]
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    if not keys:
-        return df.count()
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def attach(
     df: DataFrame, other: DataFrame, keys: list[str], columns: list[str], small: bool = False
 ) -> DataFrame:
@@ -52,149 +42,138 @@ def attach(
 class Ordered:
     """Adds order-dependent columns to ``df``, one method call per column."""
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: list[str],
-        order: list[str],
-        rows_per_task: int = ROWS_PER_TASK,
-        bounded: bool = False,
-    ):
-        """``bounded=True`` skips the size check: the caller knows that no
-        group can exceed ``rows_per_task`` (for example one row per day)."""
-        self.keys, self.order, self.rows_per_task = list(keys), list(order), rows_per_task
-        self.split = not bounded and largest_group(df, self.keys) > rows_per_task
+    def __init__(self, df: DataFrame, keys: list[str], order: list[str], rows_per_task: int | None = None, bounded: bool = False):
+        """``rows_per_task`` sets the size of segments by a count of the rows, instead of by bytes.
+
+        ``bounded=True`` takes plain windows: the caller knows that no group
+        can outgrow a task (for example one row per day)."""
+        self.keys, self.order = list(keys), list(order)
+        self.split = not bounded
         if self.split:
-            parts = max(2, math.ceil(df.count() / rows_per_task))
             spread = [F.asc(k) for k in self.keys] + ordering(self.order)
-            df = pin(
-                df.repartitionByRange(parts, *spread).withColumn(_SEG, F.spark_partition_id()),
-                "segments",
-            )
-        self.df = df
+            parts = [max(2, math.ceil(df.count() / rows_per_task))] if rows_per_task else []
+            df = pin(df.repartitionByRange(*parts, *spread).withColumn(_SEG, F.spark_partition_id()), "segments")
+        self._df = df
+        self._columns = 0
+        self._clear()
+
+    def _clear(self) -> None:
+        self._local: list[tuple[str, Column]] = []
+        self._summary: dict[str, Column] = {}
+        self._carry: dict[str, Column] = {}
+        self._whole: dict[str, Column] = {}
+        self._finish: list[tuple[str, Column]] = []
+        self._drop: list[str] = []
 
     @property
-    def _local_keys(self) -> list[str]:
-        return self.keys + ([_SEG] if self.split else [])
+    def df(self) -> DataFrame:
+        """The rows with all columns asked for so far."""
+        self._resolve()
+        return self._df
+
+    @df.setter
+    def df(self, df: DataFrame) -> None:
+        self._resolve()
+        self._df = df
 
     def window(self) -> WindowSpec:
-        by = self._local_keys or [F.lit(1)]
-        return Window.partitionBy(*by).orderBy(*ordering(self.order))
+        local = self.keys + ([_SEG] if self.split else [])
+        return Window.partitionBy(*(local or [F.lit(1)])).orderBy(*ordering(self.order))
 
     def result(self) -> DataFrame:
         return self.df.drop(_SEG)
 
-    # -- carries -----------------------------------------------------------
-
-    def _with_carry(self, df: DataFrame, summary: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
-        """Join what earlier segments of the group hand over to each segment.
-
-        ``summary`` aggregates one segment; ``carry`` folds the summaries of
-        the segments before (they are in the frame of the window in use)."""
-        earlier = (
-            Window.partitionBy(*(self.keys or [F.lit(1)]))
-            .orderBy(_SEG)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        per_segment = df.groupBy(*self.keys, _SEG).agg(*[c.alias(n) for n, c in summary.items()])
-        handed = (
-            per_segment.select(
+    def _name(self) -> str:
+        self._columns += 1
+        return f"_o{self._columns}"
+
+    def _resolve(self) -> None:
+        """Compute the columns that wait: windows inside segments, one summary, one join with what is carried."""
+        if not self._local:
+            return
+        local, summary, carry, whole, finish, drop = self._local, self._summary, self._carry, self._whole, self._finish, self._drop
+        self._clear()
+        df = self._df
+        for name, column in local:
+            df = df.withColumn(name, column)
+        if self.split:
+            group = Window.partitionBy(*(self.keys or [F.lit(1)]))
+            earlier = group.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
+            # one row per group and segment
+            segments = df.groupBy(*self.keys, _SEG).agg(*[c.alias(n) for n, c in summary.items()])
+            handed = segments.select(
                 *self.keys,
                 _SEG,
-                F.count(F.lit(1)).over(earlier).alias("_before"),
                 *[c.over(earlier).alias(n) for n, c in carry.items()],
+                *[c.over(group).alias(n) for n, c in whole.items()],
             )
-            .where("_before > 0")
-            .drop("_before")
-        )
-        # at most one carry row per segment, see the module text
-        return attach(df, handed, self._local_keys, list(carry), small=True)
+            df = attach(df, handed, [*self.keys, _SEG], [*carry, *whole])
+            for name, column in finish:
+                df = df.withColumn(name, column)
+            drop = [*drop, *carry, *whole]
+        self._df = df.drop(*drop)
 
     # -- columns -----------------------------------------------------------
 
     def row_number(self, name: str) -> Ordered:
-        local = self.df.withColumn(name, F.row_number().over(self.window()).cast("bigint"))
-        if self.split:
-            local = self._with_carry(
-                local, {"_n": F.count(F.lit(1))}, {"_rows": F.sum("_n")}
-            ).withColumn(name, F.col(name) + F.coalesce("_rows", F.lit(0))).drop("_rows")
-        self.df = local
+        i = self._name()
+        self._local.append((name, F.row_number().over(self.window()).cast("bigint")))
+        self._summary[f"{i}n"] = F.count(F.lit(1))
+        self._carry[f"{i}rows"] = F.sum(f"{i}n")
+        self._finish.append((name, F.col(name) + F.coalesce(f"{i}rows", F.lit(0))))
         return self
 
     def running_sum(self, name: str, value: Column) -> Ordered:
         """Running total over ROWS up to the current one."""
-        frame = self.window().rowsBetween(Window.unboundedPreceding, 0)
-        if not self.split:
-            self.df = self.df.withColumn(name, F.sum(value).over(frame))
-            return self
-        local = self.df.withColumn("_v", value).withColumn(name, F.sum("_v").over(frame))
-        local = self._with_carry(local, {"_s": F.sum("_v")}, {"_sum": F.sum("_s")})
-        total = F.when(F.col(name).isNull(), F.col("_sum")).otherwise(
-            F.col(name) + F.coalesce(F.col("_sum"), F.lit(0))
-        )
-        kind = self.df.select(F.sum(value)).schema[0].dataType
-        self.df = local.withColumn(name, total.cast(kind)).drop("_v", "_sum")
+        i, frame = self._name(), self.window().rowsBetween(Window.unboundedPreceding, 0)
+        self._local += [(f"{i}v", value), (name, F.sum(f"{i}v").over(frame))]
+        self._summary[f"{i}s"] = F.sum(f"{i}v")
+        self._carry[f"{i}sum"] = F.sum(f"{i}s")
+        total = F.when(F.col(name).isNull(), F.col(f"{i}sum")).otherwise(F.col(name) + F.coalesce(F.col(f"{i}sum"), F.lit(0)))
+        kind = self._df.select(F.sum(value)).schema[0].dataType
+        self._finish.append((name, total.cast(kind)))
+        self._drop.append(f"{i}v")
         return self
 
     def previous(self, name: str, value: Column) -> Ordered:
         """The value of the row before; NULL on the first row of a group."""
-        if not self.split:
-            self.df = self.df.withColumn(name, F.lag(value).over(self.window()))
-            return self
-        local = (
-            self.df.withColumn("_v", value)
-            .withColumn("_rn", F.row_number().over(self.window()))
-            .withColumn(name, F.lag("_v").over(self.window()))
-        )
-        local = self._with_carry(
-            local,
-            {"_tail": F.max_by(F.struct("_v"), "_rn")},
-            {"_prev": F.last("_tail")},
-        )
-        self.df = local.withColumn(
-            name, F.when(F.col("_rn") == 1, F.col("_prev._v")).otherwise(F.col(name))
-        ).drop("_v", "_rn", "_prev")
+        i, by = self._name(), self.window()
+        self._local += [(f"{i}v", value), (f"{i}at", F.row_number().over(by)), (name, F.lag(f"{i}v").over(by))]
+        self._summary[f"{i}tail"] = F.max_by(F.struct(f"{i}v"), f"{i}at")
+        self._carry[f"{i}before"] = F.last(f"{i}tail")
+        self._finish.append((name, F.when(F.col(f"{i}at") == 1, F.col(f"{i}before.{i}v")).otherwise(F.col(name))))
+        self._drop += [f"{i}v", f"{i}at"]
         return self
 
     def fill_forward(self, columns: list[str]) -> Ordered:
         """Replace NULL by the last value before it in the group."""
-        frame = self.window().rowsBetween(Window.unboundedPreceding, 0)
-        if not self.split:
-            self.df = self.df.withColumns(
-                {c: F.last(c, ignorenulls=True).over(frame) for c in columns}
-            )
-            return self
-        at = F.row_number().over(self.window())
-        local = self.df.withColumn("_rn", at).withColumns(
-            {c: F.last(c, ignorenulls=True).over(frame) for c in columns}
-        )
-        local = self._with_carry(
-            local,
-            {f"_l{i}": F.max_by(c, "_rn") for i, c in enumerate(columns)},
-            {f"_c{i}": F.last(f"_l{i}", ignorenulls=True) for i in range(len(columns))},
-        )
-        self.df = local.withColumns(
-            {c: F.coalesce(c, f"_c{i}") for i, c in enumerate(columns)}
-        ).drop("_rn", *[f"_c{i}" for i in range(len(columns))])
+        self._resolve()  # the columns change: what was asked for before sees them as they were
+        i, by = self._name(), self.window()
+        frame = by.rowsBetween(Window.unboundedPreceding, 0)
+        self._local.append((f"{i}at", F.row_number().over(by)))
+        for k, c in enumerate(columns):
+            self._local.append((c, F.last(c, ignorenulls=True).over(frame)))
+            self._summary[f"{i}l{k}"] = F.max_by(c, f"{i}at")
+            self._carry[f"{i}c{k}"] = F.last(f"{i}l{k}", ignorenulls=True)
+            self._finish.append((c, F.coalesce(c, f"{i}c{k}")))
+        self._drop.append(f"{i}at")
+        self._resolve()
         return self
 
     def ntile(self, name: str, buckets: int) -> Ordered:
         """SQL NTILE: the first ``rows % buckets`` buckets hold one row more."""
         if not self.split:
-            self.df = self.df.withColumn(name, F.ntile(buckets).over(self.window()))
+            self._local.append((name, F.ntile(buckets).over(self.window())))
             return self
-        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("_total"))
-        self.row_number("_rn")
-        df = self.df
-        if self.keys:
-            df = attach(df, sizes, self.keys, ["_total"])
-        else:
-            df = df.withColumn("_total", F.lit(sizes.first()["_total"]))
-        small = F.expr(f"_total div {buckets}")
-        more = F.col("_total") % buckets
+        i = self._name()
+        self._local.append((f"{i}at", F.row_number().over(self.window()).cast("bigint")))
+        self._summary[f"{i}n"] = F.count(F.lit(1))
+        self._carry[f"{i}rows"] = F.sum(f"{i}n")
+        self._whole[f"{i}all"] = F.sum(f"{i}n")
+        place = F.col(f"{i}at") + F.coalesce(f"{i}rows", F.lit(0))
+        small, more = F.expr(f"{i}all div {buckets}"), F.col(f"{i}all") % buckets
         head = more * (small + 1)
-        bucket = F.when(
-            F.col("_rn") <= head, F.ceil(F.col("_rn") / (small + 1))
-        ).otherwise(more + F.ceil(F.try_divide(F.col("_rn") - head, small)))
-        self.df = df.withColumn(name, bucket.cast("int")).drop("_rn", "_total")
+        bucket = F.when(place <= head, F.ceil(place / (small + 1))).otherwise(more + F.ceil(F.try_divide(place - head, small)))
+        self._finish.append((name, bucket.cast("int")))
+        self._drop.append(f"{i}at")
         return self

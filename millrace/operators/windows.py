@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import ROWS_PER_TASK, Ordered, attach, largest_group, ordering
+from .ordered import Ordered, attach, ordering
+
+#: Rows of a block of a rolling window.
+BLOCK_ROWS = 1_000_000
 
 
 def qualify(df: DataFrame, expression: Column, predicate: str) -> DataFrame:
@@ -33,17 +36,17 @@ def rank_by(
     keys: list[str] = (),
     rank: str | None = "rank_val",
     dense: str | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
     bounded: bool = False,
 ) -> DataFrame:
     """RANK and DENSE_RANK per group, or over all rows when there are no keys.
 
-    For a group too large for one task the rows are first reduced to their
-    distinct order values with a count each: the rank of a value is one plus
-    the rows before it, its dense rank is its position."""
+    The rows are first reduced to their distinct order values with a count
+    each: the rank of a value is one plus the rows before it, its dense rank is
+    its position."""
     keys = list(keys)
     wanted = {n: f for n, f in ((rank, F.rank), (dense, F.dense_rank)) if n}
-    if bounded or largest_group(df, keys) <= rows_per_task:
+    if bounded:
         by = Window.partitionBy(*(keys or [F.lit(1)])).orderBy(*ordering(order))
         return df.withColumns({n: f().over(by).cast("bigint") for n, f in wanted.items()})
     columns = [c.lstrip("-") for c in order]
@@ -146,22 +149,22 @@ def rolling(
     order: list[str],
     rows: int,
     aggregates: dict[str, Column],
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int | None = None,
     bounded: bool = False,
 ) -> DataFrame:
     """Aggregates over the current row and the ``rows - 1`` before it.
 
-    A large group is cut by row number into blocks; each block also receives
+    A group is cut by row number into blocks; each block also receives
     the last ``rows - 1`` rows of the block before it, which are dropped after
     the window has run."""
-    if bounded or largest_group(df, keys) <= rows_per_task:
+    if bounded:
         frame = (
             Window.partitionBy(*(keys or [F.lit(1)]))
             .orderBy(*ordering(order))
             .rowsBetween(1 - rows, 0)
         )
         return df.withColumns({n: a.over(frame) for n, a in aggregates.items()})
-    block = max(rows_per_task, rows)
+    block = max(rows_per_task or BLOCK_ROWS, rows)
     placed = Ordered(df, keys, order, rows_per_task).row_number("_rn").result()
     own = F.floor((F.col("_rn") - 1) / block)
     in_tail = (F.col("_rn") - 1) % block >= block - (rows - 1)

@@ -112,3 +112,28 @@ def test_collect_chunks_keeps_every_row(spark):
     out = rows(collect_chunks(df, ["k"], ["id"], F.col("id"), "ids", chunk_rows=10, rows_per_task=6), "chunk", "ids")
     assert [len(x[1]) for x in out] == [10, 10, 5]
     assert sum((x[1] for x in out), []) == list(range(25))
+
+
+def test_nothing_is_counted_and_no_task_takes_all_rows(spark, skewed, monkeypatch):
+    """One layout and one join for several columns; the rows of a window are parted by segment also without keys."""
+    from millrace.operators import ordered
+
+    laid = []
+    monkeypatch.setattr(ordered, "pin", lambda df, label: laid.append(label) or df)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = Ordered(skewed, [], ["day", "id"]).row_number("rn").previous("prev", F.col("v")).ntile("nt", 7).result()
+    assert laid == ["segments"] and spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") <= 1 and "rangepartitioning(day#" in plan
+    over_rows = [line for line in plan.splitlines() if "Window [row_number()" in line or "lag(" in line]
+    assert over_rows and all("_segment#" in line for line in over_rows)
+
+
+def test_columns_that_build_on_each_other(skewed):
+    w = plain(["k"], ["day", "id"])
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    want = skewed.withColumn("old", F.sum("v").over(upto)).withColumn("v", F.last("v", ignorenulls=True).over(upto)).withColumn("new", F.sum("v").over(upto))
+    got = Ordered(skewed, ["k"], ["day", "id"], rows_per_task=100).running_sum("old", F.col("v")).fill_forward(["v"]).running_sum("new", F.col("v")).result()
+    assert rows(got, "id", "v", "old", "new") == rows(want, "id", "v", "old", "new")
+    by_bytes = Ordered(skewed, ["k"], ["day", "id"]).running_sum("old", F.col("v")).fill_forward(["v"]).running_sum("new", F.col("v")).result()
+    assert rows(by_bytes, "id", "v", "old", "new") == rows(want, "id", "v", "old", "new")
