@@ -36,6 +36,20 @@ def with_match(df: DataFrame, other: DataFrame, on: list[tuple[str, str]]) -> Da
     return df.join(other, condition, "left_semi")
 
 
+def group_members(df: DataFrame, keys: list[str], order: list[str], **size) -> DataFrame:
+    """Rows that share their keys with others, with ``group_size`` and ``position`` in the group from 1.
+
+    What a self-join would show of a group in pairs, in one row per member: two
+    rows belong together when their keys are equal.  Rows with a NULL key are
+    left out."""
+    from .ordered import Ordered, attach
+
+    kept = df.dropna(subset=keys)
+    sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    shared = attach(kept, sizes, keys, ["group_size"]).where("group_size is not null")
+    return Ordered(shared, keys, order, **size).row_number("position").result()
+
+
 def linked_pairs(df: DataFrame, keys: list[str], order: list[str], columns: list[str], **size) -> DataFrame:
     """Each row of a group with the row before it, as ``<column>_1`` and ``<column>_2``.
 

@@ -9,6 +9,7 @@ from ..operators import merge as M
 from ..operators.setops import union_evolving
 from ..session import work_dir
 from ..sources import files as S
+from ..sources import headers as H
 from ..sources import ingest as I
 from ..sources import rescue as R
 from ..sources import sinks as K
@@ -160,6 +161,26 @@ def ingest_evolving(t):
     return S.read_parquet(t.spark, f"{root}/table", evolved=True)
 
 
+@query(
+    "csv_by_header",
+    "S10 S1",
+    """SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS o_orderpriority FROM orders""",
+)
+def csv_by_header(t):
+    """CSV files of orders, later ones with a column more in the middle and the others in another order."""
+    root = work_dir(t.spark, "headers")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderdate")
+    parts = (
+        ("o_orderdate < timestamp_ntz'1998-01-01'", ["o_orderkey", "o_custkey", "o_totalprice"]),
+        ("o_orderdate >= timestamp_ntz'1998-01-01' and o_custkey % 2 = 0", ["o_orderkey", "o_orderpriority", "o_custkey", "o_totalprice"]),
+        ("o_orderdate >= timestamp_ntz'1998-01-01' and o_custkey % 2 = 1", ["o_totalprice", "o_orderkey", "o_orderpriority", "o_custkey"]),
+    )
+    for where, columns in parts:
+        rows.where(where).select(columns).write.mode("append").csv(f"{root}/in", header=True)
+        H.ingest_by_header(t.spark, f"{root}/in", "o_orderkey BIGINT, o_custkey BIGINT, o_totalprice DOUBLE", f"{root}/checkpoint", f"{root}/table")
+    return S.read_parquet(t.spark, f"{root}/table", evolved=True).drop("batch_id")
+
+
 @query("union_evolving", "S10 U4", "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
 def union_evolving_rows(t):
     return union_evolving(
@@ -394,11 +415,11 @@ def zorder_text(t):
     return t.spark.read.parquet(out)
 
 
-@query("cluster_layout", "L4 K8", "SELECT * FROM lineitem WHERE l_suppkey = 7")
+@query("cluster_layout", "L4 K8", "SELECT * FROM lineitem")
 def cluster_layout(t):
     out = work_dir(t.spark, "cluster")
     L.write_clustered(t.lineitem, out, ["l_suppkey", "l_partkey"], parts=16)
-    return t.spark.read.parquet(out).where("l_suppkey = 7")
+    return t.spark.read.parquet(out)
 
 
 @query("sized_write", "L5", "SELECT * FROM lineitem")

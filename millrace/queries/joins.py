@@ -101,6 +101,18 @@ def join_linked_pairs(t):
     return J.linked_pairs(orders, ["o_custkey", "month"], ["o_orderkey"], ["o_orderkey", "o_totalprice"])
 
 
+@query(
+    "join_group_members",
+    "J5",
+    """SELECT o_custkey, o_orderdate::DATE AS day, o_orderkey, o_totalprice, COUNT(*) OVER w AS group_size, ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate::DATE ORDER BY o_orderkey) AS position
+    FROM orders WINDOW w AS (PARTITION BY o_custkey, o_orderdate::DATE) QUALIFY group_size > 1""",
+)
+def join_group_members(t):
+    """Orders that a customer placed on one day with others."""
+    orders = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"), "o_orderkey", "o_totalprice")
+    return J.group_members(orders, ["o_custkey", "day"], ["o_orderkey"])
+
+
 @query(
     "join_chain_best_line",
     "J6 W14",
@@ -259,11 +271,10 @@ def union_all(t):
 @query(
     "union_distinct",
     "U2",
-    "SELECT l_partkey AS partkey FROM lineitem WHERE l_quantity > 49 UNION SELECT p_partkey FROM part WHERE p_size < 5",
+    "SELECT l_partkey AS partkey FROM lineitem UNION SELECT p_partkey FROM part",
 )
 def union_distinct(t):
-    a = t.lineitem.where("l_quantity > 49").select(F.col("l_partkey").alias("partkey"))
-    return a.union(t.part.where("p_size < 5").select("p_partkey")).distinct()
+    return t.lineitem.select(F.col("l_partkey").alias("partkey")).union(t.part.select("p_partkey")).distinct()
 
 
 @query(
@@ -285,11 +296,11 @@ def except_both_ways(t):
 @query(
     "intersect_rows",
     "U3",
-    "SELECT c_nationkey AS nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000",
+    "SELECT c_nationkey AS nationkey FROM customer INTERSECT SELECT s_nationkey FROM supplier",
 )
 def intersect_rows(t):
     return t.customer.select(F.col("c_nationkey").alias("nationkey")).intersect(
-        t.supplier.where("s_acctbal > 5000").select("s_nationkey")
+        t.supplier.select("s_nationkey")
     )
 
 

@@ -135,10 +135,10 @@ def clean_rows(t):
     "fill_numeric_nulls",
     "P9 P10",
     """SELECT c_custkey, COALESCE(n, 0) AS orders, COALESCE(v, 0) AS spent, COALESCE(p, 'none') AS top_priority FROM customer LEFT JOIN
-    (SELECT o_custkey, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v, MIN(o_orderpriority) AS p FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON o_custkey = c_custkey""",
+    (SELECT o_custkey, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS v, MIN(o_orderpriority) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey""",
 )
 def fill_numeric_nulls(t):
-    done = t.orders.where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    done = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("orders"), money_sum("o_totalprice").alias("spent"), F.min("o_orderpriority").alias("p")
     )
     joined = t.customer.select("c_custkey").join(done, "c_custkey", "left")
@@ -228,6 +228,28 @@ def scalar_functions(t):
     )
 
 
+@query(
+    "scalar_dates_and_lists",
+    "FN",
+    """SELECT event_id, ts AS at, CAST(floor(epoch(ts)) AS BIGINT) AS seconds, CAST(ts AS DATE) - 7 AS week_before, TRUE AS drawn, TRUE AS today,
+    list_sort(list_distinct([user_id % 3, event_id % 3, 1])) AS kinds, list_sort([user_id, event_id]) AS held FROM events""",
+)
+def scalar_dates_and_lists(t):
+    """Times from text and to seconds, days before, a draw with a seed, today, distinct elements, values of a map."""
+    text = F.date_format("ts", "dd/MM/yyyy HH:mm:ss.SSSSSS")
+    held = F.create_map(F.lit("user"), F.col("user_id"), F.lit("event"), F.col("event_id"))
+    return t.events.select(
+        "event_id",
+        F.to_timestamp(text, "dd/MM/yyyy HH:mm:ss.SSSSSS").cast("timestamp_ntz").alias("at"),
+        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("seconds"),
+        F.date_sub("ts", 7).alias("week_before"),
+        ((F.rand(5) >= 0) & (F.rand(5) < 1)).alias("drawn"),
+        (F.datediff(F.current_date(), F.date_sub(F.current_date(), 1)) == 1).alias("today"),
+        F.array_sort(F.array_distinct(F.array(F.col("user_id") % 3, F.col("event_id") % 3, F.lit(1)))).alias("kinds"),
+        F.array_sort(F.map_values(held)).alias("held"),
+    )
+
+
 # -- nested data ----------------------------------------------------------
 
 
@@ -339,12 +361,11 @@ def nest_order_items(t):
     "N9",
     """SELECT o_orderkey, CASE WHEN o_totalprice >= 300000 THEN 'high' WHEN o_totalprice >= 100000 THEN 'medium' ELSE 'low' END AS amount_bucket,
     COALESCE(n, 0) AS total_items, COALESCE(v, 0.0::DOUBLE) AS total_value FROM orders LEFT JOIN (SELECT l_orderkey, CAST(SUM(l_quantity) AS BIGINT) AS n,
-      CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F'""",
+      CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS v FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""",
 )
 def order_items_summary(t):
-    items = t.lineitem.where("l_returnflag = 'N'").withColumnRenamed("l_orderkey", "o_orderkey")
-    done = t.orders.where("o_orderstatus = 'F'")
-    out = N.items_summary(done, items, "o_orderkey", "l_quantity", money("l_extendedprice"))
+    items = t.lineitem.withColumnRenamed("l_orderkey", "o_orderkey")
+    out = N.items_summary(t.orders, items, "o_orderkey", "l_quantity", money("l_extendedprice"))
     size = K.bucket([("o_totalprice >= 300000", "high"), ("o_totalprice >= 100000", "medium")], "low")
     return out.select("o_orderkey", size.alias("amount_bucket"), "items_summary.total_items", "items_summary.total_value")
 

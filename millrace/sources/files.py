@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .headers import FILE, without_one
+
 CORRUPT = "_corrupt_record"
 
 
@@ -36,10 +38,11 @@ def read_csv_permissive(
     """Good rows, and the text of the lines that do not fit the schema.
 
     Lines are read as text and parsed by ``from_csv``, so good and bad rows can
-    be queried on their own.  ``header`` is the header line to leave out."""
+    be queried on their own.  ``header`` is the header line to leave out, once
+    per file."""
     lines = spark.read.text(path)
     if header is not None:
-        lines = lines.where(F.col("value") != header)
+        lines = without_one(lines.select("value", F.col("_metadata.file_path").alias(FILE)), header)
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     marked = StructType(list(schema.fields)).add(CORRUPT, "string")

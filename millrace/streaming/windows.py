@@ -38,13 +38,14 @@ def session_agg(
     aggregates: dict[str, Column],
     delay: str | None = None,
 ) -> DataFrame:
-    """Aggregates per session: rows of a key at most ``gap`` apart belong together."""
+    """Aggregates per session: rows of a key at most ``gap`` apart belong together.
+
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``
+    lets a busy key shuffle few rows; that is for the session's owner to set."""
     if not keys:
         raise ValueError("session windows of a stream need a key")
     if delay:
         stream = stream.withWatermark(ts, delay)
-    # sessions merge inside each map task first, so a busy key shuffles few rows
-    stream.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     out = stream.groupBy(F.session_window(ts, gap).alias("window"), *keys).agg(
         *[a.alias(n) for n, a in aggregates.items()]
     )

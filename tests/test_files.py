@@ -173,3 +173,32 @@ def test_named_tables_and_statistics(spark):
     stats = spark.sql("DESCRIBE EXTENDED millrace_stats").where("col_name = 'Statistics'").first()
     assert "1 rows" in stats["data_type"]
     spark.sql("DROP TABLE millrace_stats")
+
+
+def test_csv_by_header(spark):
+    from millrace.sources.headers import ingest_by_header
+
+    root = work_dir(spark, "headers")
+
+    def put(*lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+
+    put("id,amount", "1,10.5", "id,amount", "id,amount", "x,y")
+    run = lambda: ingest_by_header(spark, f"{root}/in", "id INT, amount DOUBLE", f"{root}/c", f"{root}/out")
+    run()
+    put("id,region,amount", '2,"EU,1",20.5')
+    put("amount, id", "30.5,3")
+    put("id")
+    run()
+    run()
+    out = spark.read.option("mergeSchema", True).parquet(f"{root}/out")
+    # lines that repeat the header are data after its first copy
+    assert rows(out, "id", "amount", "region") == [(1, 10.5, None), (2, 20.5, "EU,1"), (3, 30.5, None), (None, None, None), (None, None, None), (None, None, None)]
+
+
+def test_header_is_left_out_once_per_file(spark):
+    path = work_dir(spark, "csv")
+    for lines in (["k|v", "a|1", "k|v"], ["k|v", "b|2"]):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(path)
+    good, bad = S.read_csv_permissive(spark, path, "k STRING, v STRING", header="k|v", sep="|")
+    assert rows(good) == [("a", "1"), ("b", "2"), ("k", "v")] and bad.isEmpty()
