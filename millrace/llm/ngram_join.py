@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import Ordered
 from ..session import pin
 from .common import joined_bytes, mix, mix2, pieces
 from .components import components
@@ -47,6 +48,22 @@ def prefix_size(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.where(n > 0, n - (percent * n + 99) // 100 + 1, 0)
 
 
+def spare(n, percent: int = PERCENT):
+    """How many entries more than its prefix a set of n shingles puts on lists: as many again, if it has them."""
+    p = prefix_size(n, percent)
+    return np.minimum(p, n - p)
+
+
+def dropped(n, percent: int = PERCENT):
+    """Of how many of its entries a set may be relieved, the longest lists first.
+
+    With as many spare entries on either side two similar sets share that many
+    and one more, so one is left however both are relieved, as long as lists
+    are in one order. The partner may be smaller: its spare entries count.
+    """
+    return spare((percent * n + 99) // 100, percent)
+
+
 def _digest(names: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     """A 64-bit name of each set of names, whatever their order."""
     a = np.append(np.uint64(0), np.cumsum(mix(names), dtype=np.uint64))
@@ -64,14 +81,14 @@ def _odd_sketch(names: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(names: np.ndarray, at: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first shingles of each set, rare ones before frequent ones, and where each set's start."""
+    """The first shingles of each set, spare ones included, rare ones before frequent ones, and where each set's start."""
     n = np.diff(at)
     owner = np.repeat(np.arange(len(n)), n)
     often = rank[(names & np.uint64(COUNTERS - 1)).astype(np.int64)]
     order = np.lexsort((names, often, owner))
     place = np.arange(len(names)) - at[owner]
-    take = place < prefix_size(n, percent)[owner]
-    return names[order][take], np.append(0, np.cumsum(prefix_size(n, percent)))
+    size = prefix_size(n, percent) + spare(n, percent)
+    return names[order][place < size[owner]], np.append(0, np.cumsum(size))
 
 
 class JaccardJoin:
@@ -82,10 +99,14 @@ class JaccardJoin:
     of groups on one list is a candidate; it is expanded to members, and
     members are verified on their whole sets.
 
+    A set puts twice its prefix on lists and is then taken off the longest of
+    them, which similar sets cannot all share by chance.
+
     Lists are not multiplied out at once. First every group meets its
     neighbour on each list, so a list of any length gives fewer pairs than
-    entries; the verified ones form components. Then only entries of
-    different components still meet. No link between documents of different
+    entries; the verified ones form components, whose entries meet their next
+    neighbours of other components, until no link is found. Then only entries
+    of different components still meet. No link between documents of different
     components is lost, and copies, near copies and passages that a third of
     all rows share stay linear. Shingles are compared by 64-bit names.
     """
@@ -221,24 +242,67 @@ class JaccardJoin:
         roots = components(found)
         member = classes.join(roots, classes["cid"] == roots["node"], "left").select("cid", "n", "gid", F.coalesce("root", "cid").alias("root"), *ODD)
         member = pin(member, "members")
-        lists = shared.select("token", "gid").distinct().join(member, "gid")
-        mixed = lists.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
-        open_ = lists.join(mixed, "token", "left_semi")
-        met = self._across(open_, "token").groupBy("x", "y").agg(F.count(F.lit(1)).alias("times"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        across = met.where(self._enough("times", "n_a", "n_b")).select("x", "y")
-        beside = self._across(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "gid").select("x", "y")
-        rest = self._ordered(across.union(beside)).distinct().join(first, ["x", "y"], "left_anti")
-        return found, pin(self._verified(pin(rest, "candidates"), classes), "links"), member
-
-    def _enough(self, times: str, n_a: str, n_b: str):
-        """Whether two sets share as many prefix entries as similar ones must.
-
-        Similar sets share ``o`` shingles, so of the first p of n at most n - o are not in the other; of
-        the prefix that ends first in the common order all the others are in the other's prefix.
-        """
-        p, overlap = self.percent, self._overlap(n_a, n_b)
-        least = [f"(({n} - ({p}L * {n} + 99) div 100 + 1) - ({n} - {overlap}))" for n in (n_a, n_b)]
-        return F.expr(f"{times} >= least({least[0]}, {least[1]})")
+        relieved = pin(self._relieved(shared.select("token", "n", "gid").distinct()), "entries")
+        lists = pin(self._different(relieved), "entries")
+        tried, links = first, found
+        while True:
+            # entries that stand together on a list and may be similar: never more pairs than entries
+            pairs = self._ordered(self._beside(self._mixed(lists, member))).distinct().join(tried, ["x", "y"], "left_anti")
+            pairs = pin(pairs, "candidates")
+            more = pin(self._verified(pairs, classes), "links")
+            if more.isEmpty():
+                break
+            tried, links = tried.union(pairs), links.union(more)
+            member = self._contracted(member, more)
+        across = self._across(self._mixed(lists, member), "token").distinct()
+        beside = self._across(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "gid")
+        rest = self._ordered(across.union(beside)).distinct().join(tried, ["x", "y"], "left_anti")
+        return links, pin(self._verified(pin(rest, "candidates"), classes), "links"), member
+
+    @staticmethod
+    def _mixed(lists: DataFrame, member: DataFrame) -> DataFrame:
+        """Entries of the lists on which classes of different components stand."""
+        entries = lists.join(member, "gid")
+        mixed = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
+        return entries.join(mixed, "token", "left_semi")
+
+    def _beside(self, entries: DataFrame) -> DataFrame:
+        """Neighbours on each list, by size, that belong to different components and may be similar.
+
+        A list is sorted over several tasks when it is long."""
+        columns = ("cid", "n", "root", *ODD)
+        placed = Ordered(entries.withColumn("_turn", F.xxhash64("cid", "token")), ["token"], ["n", "_turn", "cid"])
+        met = placed.previous("_b", F.struct(*columns)).result().where("_b is not null")
+        met = met.select(*[F.col(c).alias(f"{c}_b") for c in columns], *[F.col(f"_b.{c}").alias(f"{c}_a") for c in columns])
+        return self._alike(met.where("root_a <> root_b")).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"))
+
+    @staticmethod
+    def _contracted(member: DataFrame, links: DataFrame) -> DataFrame:
+        """Members with the components that further links form of theirs."""
+        of = lambda c: member.select(F.col("cid").alias(c), F.col("root").alias(f"root_{c}"))
+        between = links.join(of("a"), "a").join(of("b"), "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct()
+        merged = components(pin(between, "links")).select(F.col("node").alias("root"), F.col("root").alias("_to"))
+        out = member.join(merged, "root", "left").withColumn("root", F.coalesce("_to", "root")).drop("_to")
+        return pin(out.select(*member.columns), "members")
+
+    def _relieved(self, entries: DataFrame) -> DataFrame:
+        """Entries without those on the longest lists of each group, as many as leave every similar pair one in common."""
+        length = entries.groupBy("token").agg(F.count(F.lit(1)).alias("length"))
+        p = self.percent
+        m = f"(({p}L * n + 99) div 100)"  # the smallest partner
+        prefix = f"({m} - ({p}L * {m} + 99) div 100 + 1)"
+        # no more rows than the set has shingles
+        place = F.row_number().over(Window.partitionBy("gid").orderBy(F.desc("length"), F.desc("token")))
+        kept = entries.join(length, "token").withColumn("place", place).where(f"place > least({prefix}, {m} - {prefix})")
+        return kept.select("token", "gid")
+
+    @staticmethod
+    def _different(entries: DataFrame) -> DataFrame:
+        """One list of those that hold the same groups, as the shingles of a shared passage do; by 128-bit names."""
+        name = [F.bit_xor(F.xxhash64(F.lit(i), "gid")).alias(f"name{i}") for i in (1, 2)]
+        lists = entries.groupBy("token").agg(F.count(F.lit(1)).alias("length"), *name).where("length > 1")
+        one = lists.groupBy("length", "name1", "name2").agg(F.min("token").alias("token"))
+        return entries.join(one.select("token"), "token", "left_semi")
 
     def _overlap(self, n_a: str, n_b: str) -> str:
         """The shingles that sets of these sizes share at least when they are similar."""
@@ -248,9 +312,12 @@ class JaccardJoin:
         """Pairs of classes on one list that belong to different components and are of like size."""
         side = lambda s: entries.select(on, *[F.col(c).alias(c + s) for c in ("cid", "n", "root", *ODD)])
         met = side("_a").join(side("_b"), on).where("root_a <> root_b and (n_a < n_b or (n_a = n_b and cid_a < cid_b))")
+        return self._alike(met).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"))
+
+    def _alike(self, met: DataFrame) -> DataFrame:
+        """Pairs whose sizes and odd sketches leave it open that they are similar."""
         differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in ODD)
-        met = met.where(self._near("n_a", "n_b")).where(f"{differ} <= n_a + n_b - 2 * {self._overlap('n_a', 'n_b')}")
-        return met.select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"), "n_a", "n_b")
+        return met.where(self._near("n_a", "n_b")).where(f"{differ} <= n_a + n_b - 2 * {self._overlap('n_a', 'n_b')}")
 
     @staticmethod
     def _ordered(pairs: DataFrame) -> DataFrame:
