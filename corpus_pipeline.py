@@ -17,21 +17,30 @@ def _same(a, b):
     return a.eqNullSafe(b)
 
 
+def _row(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    name = "_row"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def _named(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, a digest of all columns: rows are equal when their names are."""
+    """``docs`` with a last column, a digest of all others: rows are equal when their names are."""
     texts = [F.col(c).cast("string") for c in docs.columns]
     parts = [F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
-    return docs.withColumn("_row", F.sha2(F.concat(*parts), 256))
+    return docs.withColumn(_row(docs), F.sha2(F.concat(*parts), 256))
 
 
 def _rows_of(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """The rows that ``names`` holds the ``_row`` of, equal ones once. Map tasks combine equal rows before they meet."""
-    once = _named(docs).groupBy("_row").agg(*[F.first(c).alias(c) for c in docs.columns])
-    return once.join(names.select("_row"), "_row", "left_semi").select(*docs.columns)
+    """The rows that ``names`` holds the name of, equal ones once. Map tasks combine equal rows before they meet."""
+    row = _row(docs)
+    once = _named(docs).groupBy(row).agg(*[F.first(c).alias(c) for c in docs.columns])
+    return once.join(names.select(row), row, "left_semi").select(*docs.columns)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that are probably of the best grade."""
+    """Keep the documents that are probably of the best grade, see :func:`classifier.select` for NULL and empty texts."""
     model = classifier.train(docs, classifier.grade_labels(table(spark, sf_dir, "labels")), 3)
     return classifier.select(docs, model)
 
@@ -43,10 +52,10 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     all columns; of rows equal in all columns, any. Repeated ids and NULL ids do not let copies through.
     """
     kept = exact_dedup.exact_dedup(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
-    keyed = _named(docs).select("doc_id", F.sha2(exact_dedup.without_space(), 256).alias("_own"), "_row", F.length("text").alias("_chars"))
-    best = keyed.groupBy("doc_id", "_own").agg(F.min(F.struct(-F.coalesce("_chars", F.lit(0)), "_row")).alias("_best"))
+    keyed = _named(docs).select("doc_id", F.sha2(exact_dedup.without_space(), 256).alias("_own"), F.col(_row(docs)).alias("_name"), F.length("text").alias("_chars"))
+    best = keyed.groupBy("doc_id", "_own").agg(F.min(F.struct(-F.coalesce("_chars", F.lit(0)), "_name")).alias("_best"))
     winners = best.join(kept, _same(F.col("doc_id"), F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_semi")
-    return _rows_of(docs, winners.select("_best._row"))
+    return _rows_of(docs, winners.select(F.col("_best._name").alias(_row(docs))))
 
 
 def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,16 +64,16 @@ def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     That is the row with the least id, NULL after all others, then the least digest of all columns; of rows
     equal in all columns, any. A text without words is near to nothing: only rows equal to it go.
     """
-    return _rows_of(docs, ngram_join.survivors(_named(docs), "_row"))
+    return _rows_of(docs, ngram_join.survivors(_named(docs), _row(docs)))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep a sample whose token weights follow the targets."""
-    return mixing.sample(docs, mixing.plan(docs)).where("_sampled").select(*docs.columns)
+    """Keep a sample whose token weights follow the targets; texts without words go, as :func:`mixing.sample` says."""
+    return mixing.kept(docs, mixing.plan(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and digests of them and of what they decode to."""
+    """Digests of the token ids of each document and of what they decode to; NULL and empty texts have none."""
     import public_tokenizers
 
     return byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)

@@ -121,7 +121,8 @@ def labelled_features(docs: DataFrame, grades: DataFrame, id_col: str, text_col:
     """``grade`` and hashed ``at`` of at most ``limit`` graded documents, chosen by the hash of the id.
 
     The chosen labels are at most ``limit`` rows and are broadcast; the texts are read once and
-    only the chosen ones become features."""
+    only the chosen ones become features. Of rows that share an id the least text stands for all,
+    so that there are no more rows than labels."""
     chosen = (
         grades.where(F.col("grade").isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id"))
@@ -137,7 +138,8 @@ def labelled_features(docs: DataFrame, grades: DataFrame, id_col: str, text_col:
             at = [features(t, known) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_pydict({"grade": b.column(0).cast(pa.int32()), "at": pa.array([x.tobytes() for x in at], pa.binary())})
 
-    return texts.join(F.broadcast(chosen), "_id").select("grade", "_text").mapInArrow(turn, "grade int, at binary")
+    one = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "grade").agg(F.min(F.coalesce("_text", F.lit(""))).alias("_text"))
+    return one.select("grade", "_text").mapInArrow(turn, "grade int, at binary")
 
 
 def train(docs: DataFrame, grades: DataFrame, classes: int, id_col: str = "doc_id", text_col: str = "text", limit: int = FIT_ROWS) -> Ordinal:
@@ -148,7 +150,10 @@ def train(docs: DataFrame, grades: DataFrame, classes: int, id_col: str = "doc_i
 
 
 def select(docs: DataFrame, model: Ordinal, at_least: float = 0.3, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, whose chance of the best grade is ``at_least``; a filter beside the scan."""
+    """The documents, all columns, whose chance of the best grade is ``at_least``; a filter beside the scan.
+
+    NULL and empty texts have no features and are judged by the thresholds alone. Rows that repeat are
+    judged alike, an empty table stays empty, and other columns may have any name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

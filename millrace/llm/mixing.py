@@ -151,7 +151,10 @@ def plan(docs: DataFrame, targets=TARGETS, keep: float = 0.5, topics=TOPICS) ->
 
 
 def sample(docs: DataFrame, cells: DataFrame, dims=tuple(TARGETS), topics=TOPICS, seed: int = 17) -> DataFrame:
-    """Each document with ``weight``, ``probability`` and ``sampled``.
+    """Each document with ``_weight``, ``_probability`` and ``_sampled``, its categories and ``_n`` tokens.
+
+    A column of the documents that has such a name is left out; :func:`kept`
+    returns documents as they were.
 
     NULL dimensions are the category ``unknown``; NULL and empty texts have no
     tokens and, in a cell without tokens, probability 0. Rows that repeat with
@@ -159,8 +162,22 @@ def sample(docs: DataFrame, cells: DataFrame, dims=tuple(TARGETS), topics=TOPICS
     join with the cells is left to Spark: small tables are sent to all, others
     meet by key and a hot cell is split.
     """
+    drawn = _drawn(docs, cells, dims, topics, seed)
+    own = [F.col("_doc").getField(c).alias(c) for c in docs.columns if c not in drawn.columns]
+    return drawn.select(*own, *[c for c in drawn.columns if c != "_doc"])
+
+
+def kept(docs: DataFrame, cells: DataFrame, dims=tuple(TARGETS), topics=TOPICS, seed: int = 17) -> DataFrame:
+    """The sampled documents, all their columns unchanged whatever they are called."""
+    drawn = _drawn(docs, cells, dims, topics, seed).where("_sampled")
+    return drawn.select(*[F.col("_doc").getField(c).alias(c) for c in docs.columns])
+
+
+def _drawn(docs: DataFrame, cells: DataFrame, dims, topics, seed: int) -> DataFrame:
     at = described(docs, topics)
     names = {d: f"_{d}" for d in dims}
-    keyed = docs.withColumns({names[d]: at[d] for d in dims} | {"_n": at["n_tokens"], "_draw": draw(F.col("doc_id"), text_of(), seed)})
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("_doc"), *[at[d].alias(names[d]) for d in dims], at["n_tokens"].alias("_n"), draw(F.col("doc_id"), text_of(), seed).alias("_draw")
+    )
     side = cells.select(*[F.col(d).alias(names[d]) for d in dims], F.col("weight").alias("_weight"), F.col("probability").alias("_probability"))
     return keyed.join(side, list(names.values())).withColumn("_sampled", F.col("_draw") < F.col("_probability"))

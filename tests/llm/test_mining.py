@@ -293,3 +293,57 @@ def test_scores_are_exact_beyond_64_bits(spark):
     single = spark.createDataFrame([("en", "x", l), ("en", "y", r)], "lang string, word string, n long")
     pair = spark.createDataFrame([("en", "x", "y", None, a)], "lang string, w1 string, w2 string, w3 string, n long")
     assert c13.score_phrases(single, pair).first().score == math.floor(10**6 * a * a // (l * r))
+
+
+# columns of any name, and bounds that hold
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline
+    from millrace.llm import mixing
+
+    names = ["_row", "_n", "_topic", "_draw", "_source", "_lang", "_weight", "_probability", "_sampled", "_doc", "_name"]
+    data = [(i, f"the word number {i % 4} of a text that goes on for a while {i % 4}", "en", f"src{i % 2}", 9, *[f"{c}{i}" for c in names]) for i in range(12)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in names))
+    for stage in (corpus_pipeline.deduplicate, corpus_pipeline.join_near, corpus_pipeline.mix):
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        kept = out.collect()
+        assert kept and all(r[c] == f"{c}{r.doc_id}" for r in kept for c in names)
+    sampled = mixing.sample(docs, mixing.plan(docs))
+    assert {"_weight", "_probability", "_sampled", "_n", "doc_id", "_row"} <= set(sampled.columns) and sampled.count() == 12
+
+
+def test_fit_rows_stay_within_their_bound(spark):
+    from millrace.llm import classifier
+
+    data = [(1, f"text {i}") for i in range(50)] + [(2, "other"), (3, None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    grades = spark.createDataFrame([(1, 2), (2, 0), (3, 1)], "doc_id long, grade int")
+    assert classifier.labelled_features(docs, grades, "doc_id", "text", 2).count() == 2
+    assert classifier.labelled_features(docs, grades, "doc_id", "text", 9).count() == 3
+
+
+def test_a_pair_survives_the_relief_of_long_lists():
+    """Whatever two similar sets share: relieved of their longest lists they still meet on one."""
+    from millrace.llm import ngram_join as n9
+
+    r = np.random.default_rng(8)
+    for _ in range(300):
+        n = int(r.integers(1, 60))
+        common = r.choice(200, n, replace=False)
+        a, b = set(common.tolist()), set(common.tolist())
+        for s in (a, b):
+            for x in r.choice(common, int(r.integers(0, 1 + n // 8)), replace=False).tolist():
+                s.discard(x)
+            s.update((1000 + r.choice(500, int(r.integers(0, 1 + n // 8)), replace=False)).tolist())
+        if not a or not b or 100 * len(a & b) < 85 * len(a | b):
+            continue
+        first, second = r.permutation(2000), r.permutation(2000)  # the order of prefixes, that of lengths
+        kept = []
+        for s in (a, b):
+            m = np.array(len(s))
+            listed = sorted(s, key=lambda x: first[x])[: int(n9.prefix_size(m) + n9.spare(m))]
+            drop = int(n9.dropped(m))
+            kept.append(set(sorted(listed, key=lambda x: second[x])[: len(listed) - drop]))
+        assert kept[0] & kept[1]
