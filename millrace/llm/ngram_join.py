@@ -13,8 +13,8 @@ from .common import joined_bytes, mix, mix2, pieces
 from .components import components
 from .rolling import LOWER, spans, windows, words
 
-#: Words in a shingle, and the similarity from which two documents are linked, in hundredths.
-SHINGLE, PERCENT = 4, 85
+#: Words in a shingle, and the similarity from which two documents are linked, in hundredths, unless a caller says otherwise.
+SHINGLE, PERCENT = 5, 80
 #: Counters of the sketch that finds frequent shingles, and their blocks: 4 MB, whatever the corpus.
 COUNTERS, BLOCKS = 1 << 20, 64
 #: 64-bit words of a set's odd sketch: bit i is set when an odd number of shingles fall on i.

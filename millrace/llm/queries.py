@@ -92,7 +92,7 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op9_ngram_join")
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return n9.near_duplicates(table(spark, sf_dir, "documents"))
+    return n9.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
 @register("op10_substring_dedup")

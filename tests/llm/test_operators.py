@@ -348,15 +348,15 @@ def test_licenses_that_the_documents_do_not_hold(spark):
     assert got == {0: (None, ["BSD-3-Clause", "CC-BY-SA-4.0", "MPL-2.0"]), 1: (None, []), 2: (None, [])}
 
 
-def brute_components(rows):
+def brute_components(rows, size=5, percent=80):
     low = str.maketrans({chr(65 + i): chr(97 + i) for i in range(26)})
     sets = {}
     for i, t in rows:
         w = re.findall(WORD, t.translate(low))
-        sets[i] = {tuple(w[p : p + 4]) for p in range(len(w) - 3)} if len(w) > 3 else ({tuple(w)} if w else set())
+        sets[i] = {tuple(w[p : p + size]) for p in range(len(w) - size + 1)} if len(w) >= size else ({tuple(w)} if w else set())
     root = {i: i for i in sets}
     changed = True
-    pairs = [(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    pairs = [(i, j) for i in sets for j in sets if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     while changed:
         changed = False
         for i, j in pairs:
@@ -367,9 +367,11 @@ def brute_components(rows):
 
 
 def test_ngram_join(odd, rows, nothing, ids_missing):
-    assert result(ngram_join.near_duplicates(odd), "n_shingles", "component_id") == brute_components(rows)
+    for limits in ((4, 85), (5, 80)):
+        got = ngram_join.near_duplicates(odd, size=limits[0], percent=limits[1])
+        assert result(got, "n_shingles", "component_id") == brute_components(rows, *limits)
     assert ngram_join.near_duplicates(nothing).isEmpty()
-    got = sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in ngram_join.near_duplicates(ids_missing).collect())
+    got = sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in ngram_join.near_duplicates(ids_missing, size=4, percent=85).collect())
     assert got == sorted([("1", 87, "1")] * 2 + [("1", 1, "1"), ("None", 87, "1"), ("None", 0, "None"), ("2", 88, "1"), ("None", 1, "1"), ("0", 1, "0")])
 
 
