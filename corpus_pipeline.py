@@ -13,6 +13,10 @@ from millrace.llm import byte_bpe, classifier, exact_dedup, mixing, ngram_join
 from millrace.session import pin, table
 
 
+#: Near copies: words in a shingle, and the similarity in hundredths from which two documents are linked.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def _same(a, b):
     return a.eqNullSafe(b)
 
@@ -59,12 +63,12 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep exactly one row of each near-duplicate group.
+    """Keep exactly one row of each near-duplicate group: sets of five-word shingles with a similarity of 0.8 or more.
 
     That is the row with the least id, NULL after all others, then the least digest of all columns; of rows
     equal in all columns, any. A text without words is near to nothing: only rows equal to it go.
     """
-    return _rows_of(docs, ngram_join.survivors(_named(docs), _row(docs)))
+    return _rows_of(docs, ngram_join.survivors(_named(docs), _row(docs), size=NEAR_WORDS, percent=NEAR_PERCENT))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
