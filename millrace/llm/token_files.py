@@ -26,10 +26,27 @@ ORC = {
 #: Bytes of text that go to one file.
 FILE_BYTES = 24 << 20
 
-_SAFE = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]*").fullmatch
+# The normaliser and splitter that the short way stands for, and the characters it holds for.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SAFE = re.compile(r"[\t\n\r -&(-~À-ÖØ-öø-ÿ]*").fullmatch
 _SPLIT = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
 
 
+def _splits_as_known(described: dict) -> bool:
+    """Whether a tokenizer's own description has the fixed normaliser and splitter above, and no added token outside ``<|``."""
+    steps = (described.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+    return (
+        (described.get("normalizer") or {}).get("normalizers") == _NORMALIZERS
+        and len(steps) == 2
+        and steps[0] == {"type": "Split", "pattern": {"Regex": _SPLITTER}, "behavior": "Removed", "invert": True}
+        and byte_level.items() <= steps[1].items()
+        and described["model"]["type"] == "BPE"
+        and all(t["content"].startswith("<|") for t in described["added_tokens"])
+    )
+
+
 def _byte_letters() -> list[str]:
     """The letter that stands for each byte: itself where it prints, else the next free one from 256."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -40,49 +57,64 @@ def _byte_letters() -> list[str]:
     return letters
 
 
+class _Words(dict):
+    """Word to ids; a word that is not there yet is encoded by the model."""
+
+    def __init__(self, model, letters: list[str]):
+        super().__init__()
+        self.tokenize, self.letters = model.tokenize, letters
+
+    def __missing__(self, w: str) -> list[int]:
+        shown = w if w.isascii() else "".join(map(self.letters.__getitem__, w.encode()))
+        ids = self[w] = [t.id for t in self.tokenize(shown)]
+        return ids
+
+
 class WordEncoder:
-    """Ids by the tokenizers library; a text falls into pieces at spaces and line ends, which its
-    normaliser and pre-tokeniser never cross, so each distinct piece is encoded once.
+    """Ids by the tokenizers library.
 
-    Pieces of plain letters, digits and punctuation go to the library's model directly; all others
-    take its whole path."""
+    Where the file has the normaliser and splitter described above, a text of plain letters, digits and
+    punctuation is split by one pattern and its words go to the library's model, each distinct one once.
+    All other texts, and all texts of other files, take the library's whole path."""
 
     #: Words that a task remembers.
     MEMORY = 250_000
 
     def __init__(self, path: str):
+        import json
+
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.words: dict[str, tuple[int, ...]] = {}
-
-    def word(self, w: str) -> tuple[int, ...]:
-        ids = self.words.get(w)
-        if ids is None:
-            shown = w if w.isascii() else "".join(map(self.letters.__getitem__, w.encode()))
-            ids = self.words[w] = tuple(t.id for t in self.model.tokenize(shown))
-        return ids
+        self.known = _splits_as_known(json.loads(self.tokenizer.to_str()))
+        self.words = _Words(self.tokenizer.model, _byte_letters())
 
-    def piece(self, p: str) -> tuple[int, ...]:
-        if p.isascii() and p.isalpha():
-            return self.word(p.lower())
-        if _SAFE(p) and "<|" not in p:
-            return tuple(chain.from_iterable(map(self.word, _SPLIT(p.lower()))))
-        return tuple(self.tokenizer.encode(p, add_special_tokens=False).ids)
+    def plain(self, text: str) -> bool:
+        return self.known and "<|" not in text and _SAFE(text) is not None
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
         with no_cycles():
             if len(self.words) > self.MEMORY:
                 self.words.clear()
-            cut = [t.replace("\n", " ").split(" ") for t in texts]
-            ids = dict.fromkeys(chain.from_iterable(cut))
-            ids.pop("", None)
-            for p in ids:
-                ids[p] = self.piece(p)
-            ids[""] = ()
-            return [list(chain.from_iterable(map(ids.__getitem__, parts))) for parts in cut]
+            word = self.words.__getitem__
+            out = [list(chain.from_iterable(map(word, _SPLIT(t.lower())))) if self.plain(t) else None for t in texts]
+            rest = [i for i, ids in enumerate(out) if ids is None]
+            for i, ids in zip(rest, self._encode_rest([texts[i] for i in rest])):
+                out[i] = ids
+            return out
+
+    def _encode_rest(self, texts: list[str]) -> list[list[int]]:
+        if not self.known:
+            return [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        # normaliser and splitter never cross spaces and line ends, so each distinct piece is encoded once
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        ids = dict.fromkeys(chain.from_iterable(cut))
+        for p in ids:
+            if self.plain(p):
+                ids[p] = list(chain.from_iterable(map(self.words.__getitem__, _SPLIT(p.lower()))))
+            else:
+                ids[p] = self.tokenizer.encode(p, add_special_tokens=False).ids
+        return [list(chain.from_iterable(map(ids.__getitem__, parts))) for parts in cut]
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -139,11 +171,15 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.orc(path)
 
 
-def with_starts(tokens: DataFrame) -> DataFrame:
-    """Add ``start``, the ids of all documents before; only one row per file is ordered globally."""
+def with_starts(tokens: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+    """Add ``start``, the ids of all documents before; only one row per file is ordered globally.
+
+    The files' sizes are summed from ``stored``, of which Spark reads two integer columns, where ``tokens``
+    is something computed from it.
+    """
     from pyspark.sql import Window
 
-    files = tokens.groupBy("file_no").agg(F.sum("n_tokens").alias("_n"))
+    files = (stored if stored is not None else tokens).groupBy("file_no").agg(F.sum("n_tokens").alias("_n"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = files.select("file_no", before.alias("_before"))
     return tokens.join(offsets, "file_no").withColumn("start", F.col("first") + F.col("_before")).drop("_before")
@@ -163,7 +199,7 @@ def checksums(tokens: DataFrame) -> DataFrame:
 
     read = tokens.select("doc_id", "file_no", "first", "ids", "n_tokens")
     done = read.mapInArrow(turn, f"doc_id {kind}, file_no int, first long, n_tokens long, ids_crc32 long")
-    return with_starts(done).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_starts(done, tokens).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def write_and_read(df: DataFrame, tokenizer: str, end_id: int, label: str = "tokens") -> DataFrame:
