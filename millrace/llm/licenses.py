@@ -97,34 +97,27 @@ def scan_licenses(
     """Per document: ``digest`` of its canonical text, ``license`` when the entire text is known,
     and ``notices``, the sorted licences of which an entire line is a known text.
 
-    ``known`` is a parameter of a few hundred texts; it is the bound of both
-    hash joins. Documents never meet each other, so copies and hot sources
-    cost nothing. Lines are looked up in the map task and only hits leave it.
+    ``known`` is a parameter of a few hundred texts; it is the bound of the
+    hash join and of the lookup of lines. Documents never meet each other, so
+    copies and hot sources cost nothing, and nothing is shuffled: lines are
+    looked up in their own row, where most are no known digest.
 
     NULL and empty texts have the digest of the empty text, no licence and no
     notices, as do texts of punctuation alone. Rows that repeat stay one row
-    each: documents that share an id share no hits, since hits are gathered
-    per row before the lines leave it. Other columns are not read.
+    each, also when they share an id. Other columns are not read.
     """
     table = known_digests(df.sparkSession, known, spellings)
-    lines = df.select(F.col(id_col).alias("_id"), canonical_lines(text_of(text_col), spellings).alias("_lines"))
+    named = {r.digest: r.license for r in table.collect()}  # at most one row per known text
+    lines = df.select(F.col(id_col).alias(id_col), canonical_lines(text_of(text_col), spellings).alias("_lines"))
     digests = lines.select(
-        "_id",
+        id_col,
         F.sha2(F.array_join("_lines", " "), 256).alias("digest"),
-        F.array_distinct(F.transform("_lines", lambda x: F.sha2(x, 256))).alias("_each"),
-    )
-    notices = (
-        digests.select("_id", F.col("digest").alias("_text"), F.explode("_each").alias("digest"))
-        .join(table, "digest")
-        .groupBy("_id", "_text")
-        .agg(F.array_sort(F.collect_set("license")).alias("notices"))
-    )
-    found = digests.select("_id", "digest").join(table, "digest", "left")
-    same = found["_id"].eqNullSafe(notices["_id"]) & (found["digest"] == notices["_text"])
-    none = F.array().cast("array<string>")
-    return found.join(notices, same, "left").select(
-        found["_id"].alias(id_col), "digest", "license", F.coalesce("notices", none).alias("notices")
+        F.filter(F.transform("_lines", lambda x: F.sha2(x, 256)), lambda d: d.isin(list(named))).alias("_hits"),
     )
+    name = F.create_map(*[F.lit(x) for pair in named.items() for x in pair]) if named else F.create_map().cast("map<string,string>")
+    found = digests.join(F.broadcast(table), "digest", "left")
+    notices = F.array_sort(F.array_distinct(F.transform("_hits", lambda d: name[d])))
+    return found.select(id_col, "digest", "license", notices.alias("notices"))
 
 
 def oracle(known=KNOWN, spellings=SPELLINGS) -> str:
