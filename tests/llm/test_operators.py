@@ -110,6 +110,15 @@ def test_token_files(spark, odd, rows, nothing, ids_missing):
     assert e.encode_all(many) == [t.encode(x, add_special_tokens=False).ids for x in many]
 
 
+def test_texts_of_other_tokenizer_files():
+    """A file with another splitter takes the library's own path."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t, e = Tokenizer.from_file(path), token_files.WordEncoder(path)
+    texts = ["", "Plain words, 42 of them.", "it's  two\nlines", "ßÉ 🙂 <|endoftext|>"]
+    assert not e.known and token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json")).known
+    assert e.encode_all(texts) == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_token_files_are_pruned_and_ordered(spark, odd):
     to = work_dir(spark, "tokens-test")
     token_files.write_tokens(odd, to, public_tokenizers.path("word_bpe_49k.json"), 1, files=4)
