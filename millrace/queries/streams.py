@@ -45,6 +45,14 @@ def appended(t, stream, name):
     return t.spark.read.schema(stream.schema).parquet(f"{root}/table")
 
 
+def replayed(t, name, tables, build, bytes_per_slice=R.BYTES_PER_SLICE):
+    """``build`` run over tables, (name, time, columns) each, in the order of time: one slice for small ones."""
+    stored = R.stored_bytes(t.spark, *[f"{t.sf_dir}/{table}.parquet" for table, *_ in tables])
+    slices = R.time_slices(stored, bytes_per_slice)
+    rows = [(getattr(t, table).withColumn(time, F.col(time).cast("timestamp")).select(*columns), time) for table, time, columns in tables]
+    return R.replay_append(rows, build, work_dir(t.spark, name), slices)[0]
+
+
 def completed(t, stream, name):
     root = work_dir(t.spark, name)
     R.run_complete(stream, f"{root}/table", f"{root}/checkpoint")
@@ -242,18 +250,27 @@ PAIR_COLUMNS = "o_orderkey, o_orderdate, l_orderkey, l_linenumber, l_partkey, l_
 MARK = "(SELECT LEAST((SELECT MAX(o_orderdate) FROM orders), (SELECT MAX(l_shipdate) FROM lineitem)) - INTERVAL '10 days 12 hours')"
 
 
+ORDER_COLUMNS = ("o_orderkey", "o_orderdate")
+LINE_COLUMNS = ("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+
+
 def two_streams(t):
-    return orders(t).select("o_orderkey", "o_orderdate"), lines(t).select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    return orders(t).select(*ORDER_COLUMNS), lines(t).select(*LINE_COLUMNS)
 
 
-def pairs(t, how, upper=UPPER, name="pairs"):
-    joined = J.interval_join(*two_streams(t), ("o_orderkey", "l_orderkey"), ("o_orderdate", "l_shipdate"), upper, DELAYS, how)
-    return naive(appended(t, joined, name), "o_orderdate", "l_shipdate")
+def joined(left, right, how, upper=UPPER):
+    return J.interval_join(left, right, ("o_orderkey", "l_orderkey"), ("o_orderdate", "l_shipdate"), upper, DELAYS, how)
+
+
+def pairs(t, how, name="pairs"):
+    """Both tables in the order of time: the state of the join holds the bound, not the tables."""
+    tables = [("orders", "o_orderdate", ORDER_COLUMNS), ("lineitem", "l_shipdate", LINE_COLUMNS)]
+    return naive(replayed(t, name, tables, partial(joined, how=how)), "o_orderdate", "l_shipdate")
 
 
 @query("stream_stream_watermarks", "T16 T15", f"SELECT {PAIR_COLUMNS} FROM orders JOIN lineitem ON o_orderkey = l_orderkey")
 def stream_stream_watermarks(t):
-    return pairs(t, "inner", upper=None)
+    return naive(appended(t, joined(*two_streams(t), "inner", None), "pairs"), "o_orderdate", "l_shipdate")
 
 
 @query("stream_stream_interval", "T17 J14", f"SELECT {PAIR_COLUMNS} FROM orders JOIN lineitem ON {PAIR}")
@@ -516,7 +533,12 @@ def velocity_spikes(t):
       WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL 1 HOUR""",
 )
 def rolling_amounts(t):
-    return naive(appended(t, W.amount_rule(events(t), "user_id", "ts", "value", limit=200), "amount"), *WINDOW)
+    def rule(stream):
+        return W.amount_rule(stream, "user_id", "ts", "value", limit=200)
+
+    # each event lies in twelve windows
+    out = replayed(t, "amount", [("events", "ts", ("ts", "user_id", "value"))], rule, R.BYTES_PER_SLICE // 12)
+    return naive(out, *WINDOW)
 
 
 SIDES = {"East": ["ASIA", "MIDDLE EAST"], "West": ["AMERICA"]}

@@ -19,3 +19,15 @@ def remove(spark: SparkSession, folder: str) -> None:
     """Remove a folder with all it holds; one that is not there is no error."""
     path, files = _at(spark, folder)
     files.delete(path, True)
+
+
+def make(spark: SparkSession, folder: str) -> None:
+    path, files = _at(spark, folder)
+    files.mkdirs(path)
+
+
+def move(spark: SparkSession, folder: str, to: str) -> None:
+    """Rename a folder, in one step where the file system can; one that is not there is no error."""
+    path, files = _at(spark, folder)
+    if files.exists(path) and not files.rename(path, _at(spark, to)[0]):
+        raise OSError(f"could not rename {folder} to {to}")

@@ -5,17 +5,22 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.windows import top_n
+from ..sources.storage import make, move
 
 MODES = ("append", "update", "complete")
 
 #: Input that one state partition should serve.
 BYTES_PER_STATE = 64 * 1024 * 1024
+#: Input, as stored, that one time slice of a replay should hold.
+BYTES_PER_SLICE = 128 * 1024 * 1024
+_SLICE = "_slice"
 
 
 def checkpoint_path(root: str, name: str) -> str:
@@ -37,16 +42,29 @@ def stream_table(
     return stream.withColumn(event_time, F.col(event_time).cast("timestamp")) if event_time else stream
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Length of all files at some paths."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def time_slices(stored: int, bytes_per_slice: int = BYTES_PER_SLICE) -> int:
+    """Number of slices for so many stored bytes."""
+    return max(1, math.ceil(stored / bytes_per_slice))
+
+
 def state_partitions(spark: SparkSession, path: str) -> int:
     """Number of state partitions for a stream over the files at ``path``.
 
     A new query fixes this number in its checkpoint, and adaptive execution
     does not correct it, so it should follow the data: each partition costs a
     state store per batch.  It stays within what the session is set up for."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    size = files.agg(F.sum("length")).first()[0] or 0
-    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    return min(max(math.ceil(size / BYTES_PER_STATE), 8), most)
+    size = stored_bytes(spark, path)
+    cores = spark.sparkContext.defaultParallelism
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * cores)
+    wanted = math.ceil(size / BYTES_PER_STATE)
+    # whole rounds of tasks: a last round of a few would leave most cores idle, in every batch
+    return min(math.ceil(wanted / cores) * cores if wanted > 8 else 8, most)
 
 
 @contextmanager
@@ -86,6 +104,54 @@ def run_append(
     return _finish(writer.partitionBy(*partition_by) if partition_by else writer, name, checkpoint)
 
 
+def _edges(times: list[DataFrame], slices: int) -> list[int]:
+    """Microseconds at which a new slice begins; each is at or before the last time of every table.
+
+    So the last slice has the newest row of each stream, and with them the final watermark."""
+    ends = [t.agg(F.max("_t")).first()[0] for t in times]
+    if slices < 2 or None in ends:
+        return []
+    at = reduce(DataFrame.unionByName, times).approxQuantile("_t", [i / slices for i in range(1, slices)], 0.1 / slices)
+    return sorted({min(int(e), *ends) for e in at})
+
+
+def replay_append(
+    tables: list[tuple[DataFrame, str]], build: Callable[..., DataFrame], root: str, slices: int, form: str = "parquet"
+) -> tuple[DataFrame, StreamingQuery]:
+    """Stream ``tables``, each with its time column, in the order of time, and append the result.
+
+    Returns what the sink holds, and the query.
+    ``build`` makes the result from one stream per table.  The rows are staged
+    by time slice, and a slice is handed to the running query, as one folder, when
+    the slice before it is done.  Rows come in order, so none is late, and the
+    state holds one slice and what the watermark keeps, not whole tables.
+    Rows without a time come first.  ``form="text"`` streams the column
+    ``value`` as lines.
+    """
+    spark = tables[0][0].sparkSession
+    micros = [F.unix_micros(F.col(time).cast("timestamp")) for _, time in tables]
+    edges = _edges([df.select(m.alias("_t")) for (df, _), m in zip(tables, micros)], slices)
+    streams = []
+    for i, ((df, _), at) in enumerate(zip(tables, micros)):
+        number = F.coalesce(reduce(lambda a, b: a + b, [(at >= e).cast("int") for e in edges], F.lit(0)), F.lit(0))
+        rows = df.select("value") if form == "text" else df
+        df.select(*rows.columns, number.alias(_SLICE)).write.partitionBy(_SLICE).format(form).save(f"{root}/staged-{i}")
+        make(spark, f"{root}/in-{i}")
+        reader = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True)
+        streams.append(reader.format(form).load(f"{root}/in-{i}"))
+    out = build(*streams)
+    writer = out.writeStream.format("parquet").outputMode("append").option("path", f"{root}/table")
+    query = writer.option("checkpointLocation", f"{root}/checkpoint").start()
+    try:
+        for n in range(len(edges) + 1):
+            for i in range(len(tables)):
+                move(spark, f"{root}/staged-{i}/{_SLICE}={n}", f"{root}/in-{i}/{_SLICE}={n}")
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.schema(out.schema).parquet(f"{root}/table"), query
+
+
 def run_batches(
     df: DataFrame,
     fn: Callable[[DataFrame, int], None],

@@ -118,3 +118,47 @@ def test_interval_join_bounds_and_unmatched(spark):
         "left_outer": [(1, 1), (2, None), (3, None)],
         "right_outer": [(1, 1), (None, 2)],
     }
+
+
+def at_minute(m):
+    return f"2024-01-01 {m // 60:02d}:{m % 60:02d}:00"
+
+
+def spread_events(spark, rows=400):
+    """Events of one day, two minutes apart, in no order of time; the last row has no time."""
+    data = [(i, f"u{i % 5}", at_minute((i * 147 % rows) * 2), 1.0) for i in range(rows)] + [(rows, "u0", None, 1.0)]
+    return spark.createDataFrame(data, "id int, user string, at string, v double").repartition(3, "id").withColumn("ts", F.to_timestamp("at")).drop("at")
+
+
+def test_replay_holds_a_slice_and_gives_the_rows_of_one_batch(spark):
+    events = spread_events(spark)
+    results, held = [], []
+    for slices in (1, 8):
+        rule = lambda s: W.amount_rule(s, "user", "ts", "v", limit=2)
+        table, query = R.replay_append([(events, "ts")], rule, work_dir(spark, "t"), slices)
+        results.append(rows(table.withColumns({c: F.col(c).cast("string") for c in ("window_start", "window_end")})))
+        held.append(C.state_rows(spark, [query]).agg(F.max("rows_in_state"), F.sum("rows_late")).first())
+    assert len(results[0]) > 500 and results[0] == results[1]
+    assert held[1][0] < held[0][0] / 2 and held[1][1] == 0
+
+
+def test_replayed_outer_join_matches_one_batch(spark):
+    left = spread_events(spark).select("id", "ts")
+    # the right side ends later, and some rows match none; both newest rows are in the last slice
+    right = spread_events(spark).where("id % 3 > 0").selectExpr("id as rid", "ts + interval 4 minutes as rts").unionByName(
+        spark.createDataFrame([(-1, at_minute(1000))], "rid int, at string").selectExpr("rid", "to_timestamp(at) as rts"))
+    results, held = [], []
+    for slices in (1, 6):
+        join = lambda a, b: J.interval_join(a, b, ("id", "rid"), ("ts", "rts"), "5 minutes", how="left_outer")
+        table, query = R.replay_append([(left, "ts"), (right, "rts")], join, work_dir(spark, "t"), slices)
+        results.append(rows(table.selectExpr("id", "cast(ts as string)", "rid", "cast(rts as string)")))
+        held.append(C.state_rows(spark, [query]).agg(F.max("rows_in_state")).first()[0])
+    assert results[0] == results[1] and sum(r[2] is None for r in results[0]) > 100 and sum(r[2] is not None for r in results[0]) > 200
+    assert held[1] < held[0] / 2
+
+
+def test_replay_of_an_empty_table(spark):
+    empty = spread_events(spark).where("id < 0")
+    for slices in (1, 4):
+        table, _ = R.replay_append([(empty, "ts")], lambda s: W.stream_dedup_within(s, ["id"], "ts", "1 minute"), work_dir(spark, "t"), slices)
+        assert table.columns == empty.columns and table.count() == 0
