@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import Ordered
+from .ordered import SEGMENT, Ordered, attach
 
 
 def pivot_counts(df: DataFrame, keys: list[str], column: str, values: list[str]) -> DataFrame:
@@ -53,12 +53,19 @@ def collect_chunks(
     A key with up to ``chunk_rows`` rows gives one row, ``chunk`` 0; a larger
     key continues in chunks 1, 2, ...  No list outgrows a task and no row is
     lost."""
-    rows = Ordered(df.withColumn("_item", item), keys, order, **size).row_number("_rn").result()
+    ordered = Ordered(df.withColumn("_item", item), keys, order, **size).row_number("_rn")
     chunk = F.floor((F.col("_rn") - 1) / chunk_rows).cast("int")
-    lists = rows.groupBy(*keys, chunk.alias("chunk")).agg(
-        F.sort_array(F.collect_list(F.struct("_rn", "_item"))).alias("_l")
-    )
-    return lists.select(*keys, "chunk", F.transform("_l", lambda x: x["_item"]).alias(name))
+    rows = ordered.df.withColumn("chunk", chunk)
+    pair = F.struct("_rn", "_item")
+    if ordered.split:
+        # a group in one segment has its lists where its rows are; the few others meet once more
+        rows = attach(rows, ordered.cut_groups(), keys, ["_is_cut"], small=True)
+        parts = rows.where("_is_cut").groupBy(*keys, "chunk").agg(F.collect_list(pair).alias("_l"))
+        local = rows.where("_is_cut is null").groupBy(*keys, SEGMENT, "chunk").agg(F.collect_list(pair).alias("_l"))
+        lists = local.drop(SEGMENT).unionByName(parts)
+    else:
+        lists = rows.groupBy(*keys, "chunk").agg(F.collect_list(pair).alias("_l"))
+    return lists.select(*keys, "chunk", F.transform(F.sort_array("_l"), lambda x: x["_item"]).alias(name))
 
 
 def count_report(checks: Iterable[tuple[str, DataFrame]]) -> DataFrame:

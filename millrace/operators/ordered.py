@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import pin
 
-_SEG = "_segment"
+SEGMENT = _SEG = "_segment"
 
 
 def ordering(order: list[str]) -> list[Column]:
@@ -56,6 +56,14 @@ class Ordered:
         self._df = df
         self._columns = 0
         self._clear()
+        self._cut: DataFrame | None = None
+
+    def cut_groups(self) -> DataFrame:
+        """Keys of the groups that lie in several segments: fewer than there are segments, as each border cuts at most one."""
+        if self._cut is None:
+            ends = self._df.groupBy(*self.keys).agg(F.min(_SEG).alias("_from"), F.max(_SEG).alias("_to"))
+            self._cut = pin(ends.where("_from < _to").select(*self.keys, F.lit(True).alias("_is_cut")), "cut")
+        return self._cut
 
     def _clear(self) -> None:
         self._local: list[tuple[str, Column]] = []
@@ -99,15 +107,18 @@ class Ordered:
         if self.split:
             group = Window.partitionBy(*(self.keys or [F.lit(1)]))
             earlier = group.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
+            rows = df
+            if not whole:  # only groups in several segments are handed anything
+                rows = attach(df, self.cut_groups(), self.keys, ["_is_cut"], small=True).where("_is_cut")
             # one row per group and segment
-            segments = df.groupBy(*self.keys, _SEG).agg(*[c.alias(n) for n, c in summary.items()])
+            segments = rows.groupBy(*self.keys, _SEG).agg(*[c.alias(n) for n, c in summary.items()])
             handed = segments.select(
                 *self.keys,
                 _SEG,
                 *[c.over(earlier).alias(n) for n, c in carry.items()],
                 *[c.over(group).alias(n) for n, c in whole.items()],
             )
-            df = attach(df, handed, [*self.keys, _SEG], [*carry, *whole])
+            df = attach(df, handed, [*self.keys, _SEG], [*carry, *whole], small=not whole)
             for name, column in finish:
                 df = df.withColumn(name, column)
             drop = [*drop, *carry, *whole]
