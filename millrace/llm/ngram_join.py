@@ -21,6 +21,10 @@ COUNTERS, BLOCKS = 1 << 20, 64
 ODD = [f"o{i}" for i in range(8)]
 #: Partners that a group meets before components are known; all others follow when they still matter.
 FIRST = 2
+#: Another order of the lists is tried while the last one added a link to so many.
+PAYS = 20
+#: Lists that a class carries along to tell on which of them it met another one before.
+CARRIED = 16
 CHUNK = 2 << 20
 
 
@@ -105,10 +109,13 @@ class JaccardJoin:
     Lists are not multiplied out at once. First every group meets its
     neighbour on each list, so a list of any length gives fewer pairs than
     entries; the verified ones form components, whose entries meet their next
-    neighbours of other components, until no link is found. Then only entries
-    of different components still meet. No link between documents of different
-    components is lost, and copies, near copies and passages that a third of
-    all rows share stay linear. Shingles are compared by 64-bit names.
+    neighbours of other components, each time in another order of the lists,
+    until few are links. Then only entries of different components still meet,
+    those of a list's largest component only others, and a pair once, however
+    many lists it shares. No link between documents of different components is
+    lost, and copies, near copies and passages that a third of all rows share
+    stay linear. What remains are pairs whose sketches are near the limit and
+    that no chain of links joins. Shingles are compared by 64-bit names.
     """
 
     def __init__(
@@ -244,18 +251,20 @@ class JaccardJoin:
         member = pin(member, "members")
         relieved = pin(self._relieved(shared.select("token", "n", "gid").distinct()), "entries")
         lists = pin(self._different(relieved), "entries")
-        tried, links = first, found
+        tried, links, turn, total = first, found, 0, found.count()
         while True:
             # entries that stand together on a list and may be similar: never more pairs than entries
-            pairs = self._ordered(self._beside(self._mixed(lists, member))).distinct().join(tried, ["x", "y"], "left_anti")
+            pairs = self._ordered(self._beside(self._mixed(lists, member), turn)).distinct().join(tried, ["x", "y"], "left_anti")
             pairs = pin(pairs, "candidates")
             more = pin(self._verified(pairs, classes), "links")
-            if more.isEmpty():
+            new, turn, tried = more.count(), turn + 1, tried.union(pairs)
+            if new:
+                links, total = links.union(more), total + new
+                member = self._contracted(member, more)
+            if new == 0 or new * PAYS < total:
                 break
-            tried, links = tried.union(pairs), links.union(more)
-            member = self._contracted(member, more)
-        across = self._across(self._mixed(lists, member), "token").distinct()
-        beside = self._across(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "gid")
+        across = self._across(pin(self._mixed(lists, member), "entries"), "token").distinct()
+        beside = self._across(pin(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "members"), "gid")
         rest = self._ordered(across.union(beside)).distinct().join(tried, ["x", "y"], "left_anti")
         return links, pin(self._verified(pin(rest, "candidates"), classes), "links"), member
 
@@ -266,12 +275,15 @@ class JaccardJoin:
         mixed = entries.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("token")
         return entries.join(mixed, "token", "left_semi")
 
-    def _beside(self, entries: DataFrame) -> DataFrame:
+    def _beside(self, entries: DataFrame, turn: int = 0) -> DataFrame:
         """Neighbours on each list, by size, that belong to different components and may be similar.
 
-        A list is sorted over several tasks when it is long."""
+        Later turns order by sizes stretched at random by less than similar sets may differ in size, so that
+        others become neighbours. A list is sorted over several tasks when it is long."""
         columns = ("cid", "n", "root", *ODD)
-        placed = Ordered(entries.withColumn("_turn", F.xxhash64("cid", "token")), ["token"], ["n", "_turn", "cid"])
+        stretch = F.pmod(F.xxhash64("cid", "token", F.lit(turn)), F.lit(1 << 20)) * ((100 / self.percent - 1) / (1 << 20) if turn else 0.0)
+        drawn = entries.withColumns({"_size": F.col("n") * (1 + stretch), "_turn": F.xxhash64("cid", "token")})
+        placed = Ordered(drawn, ["token"], ["_size", "_turn", "cid"])
         met = placed.previous("_b", F.struct(*columns)).result().where("_b is not null")
         met = met.select(*[F.col(c).alias(f"{c}_b") for c in columns], *[F.col(f"_b.{c}").alias(f"{c}_a") for c in columns])
         return self._alike(met.where("root_a <> root_b")).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"))
@@ -309,15 +321,26 @@ class JaccardJoin:
         return f"((({n_a} + {n_b}) * {self.percent}L + {99 + self.percent}) div {100 + self.percent})"
 
     def _across(self, entries: DataFrame, on: str) -> DataFrame:
-        """Pairs of classes on one list that belong to different components and are of like size."""
-        side = lambda s: entries.select(on, *[F.col(c).alias(c + s) for c in ("cid", "n", "root", *ODD)])
-        met = side("_a").join(side("_b"), on).where("root_a <> root_b and (n_a < n_b or (n_a = n_b and cid_a < cid_b))")
-        return self._alike(met).select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"))
+        """Pairs of classes on one list that belong to different components and may be similar.
+
+        One side leaves out the component that most of a list belongs to. A pair is met on the first list it
+        shares; ``CARRIED`` lists are compared, so only long sets with few lists in common may meet twice."""
+        columns = ("cid", "n", "root", *ODD)
+        shares = entries.groupBy(on, "root").agg(F.count(F.lit(1)).alias("_k"))
+        most = shares.groupBy(on).agg(F.max_by("root", F.struct("_k", "root")).alias("most"))
+        first = entries.groupBy("cid").agg(F.slice(F.sort_array(F.collect_list(on)), 1, CARRIED).alias("on"))
+        known = entries.join(first, "cid")
+        side = lambda s: [F.col(c).alias(c + s) for c in (*columns, "on")]
+        few = known.join(most, on).where("root <> most").select(on, "most", *side("_a"))
+        met = few.join(known.select(on, *side("_b")), on).where("root_a <> root_b and (root_b = most or cid_a < cid_b)")
+        met = self._alike(met).where(f"array_min(array_append(array_intersect(on_a, on_b), {on})) = {on}")
+        return met.select(F.col("cid_a").alias("x"), F.col("cid_b").alias("y"))
 
     def _alike(self, met: DataFrame) -> DataFrame:
         """Pairs whose sizes and odd sketches leave it open that they are similar."""
         differ = " + ".join(f"bit_count({c}_a ^ {c}_b)" for c in ODD)
-        return met.where(self._near("n_a", "n_b")).where(f"{differ} <= n_a + n_b - 2 * {self._overlap('n_a', 'n_b')}")
+        sizes = f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {self.percent}L"
+        return met.where(sizes).where(f"{differ} <= n_a + n_b - 2 * {self._overlap('n_a', 'n_b')}")
 
     @staticmethod
     def _ordered(pairs: DataFrame) -> DataFrame:

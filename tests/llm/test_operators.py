@@ -399,6 +399,22 @@ def test_ngram_join_of_many_near_copies(spark):
     assert result(ngram_join.near_duplicates(df), "n_shingles", "component_id") == brute_components(data)
 
 
+def test_ngram_join_meets_a_pair_once(spark, monkeypatch):
+    """Texts of one family about the limit share many lists and are not all linked by neighbours."""
+    r = random.Random(4)
+    data = []
+    for i in range(150):
+        w = [f"b{k}" for k in range(200)]
+        for k in r.sample(range(200), r.randint(2, 6)):
+            w[k] = f"x{i}_{k}"
+        data.append((i, " ".join(w)))
+    across, made = ngram_join.JaccardJoin._across, []
+    monkeypatch.setattr(ngram_join.JaccardJoin, "_across", lambda *a: made.append(across(*a)) or made[-1])
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert result(ngram_join.near_duplicates(df, size=4, percent=85), "n_shingles", "component_id") == brute_components(data, 4, 85)
+    assert made[0].count() == made[0].distinct().count() > 0
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
