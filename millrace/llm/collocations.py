@@ -33,7 +33,7 @@ WORDS, LEAST, COVERED, TOP = 3, 10, 50, 2000
 #: A leading pair with more than one suffix in so many is dealt out further.
 HOT = 1000
 #: Bytes of text per part of the sorting, and per block whose equal suffixes are sent once.
-PART_BYTES, BLOCK_BYTES = 4 << 20, 8 << 20
+PART_BYTES, BLOCK_BYTES = 4 << 20, 4 << 20
 UNKNOWN = "und"
 
 #: A-Z become small, marks and line ends end a piece, tabs are spaces: one byte for one byte.
@@ -67,9 +67,9 @@ def _suffixes(langs: pa.Array, texts: pa.Array):
     there = pc.not_equal(words, pa.scalar(b"", pa.binary()))
     words, piece = words.filter(there), piece[there.to_numpy(zero_copy_only=False)]
     coded = words.dictionary_encode()
-    number = coded.indices.to_numpy().astype(np.int64) + 1
-    lang = names.indices.to_numpy().astype(np.int64)[text_of_piece[piece]]
-    keys = np.zeros((WORDS + 1, len(number)), np.int64)
+    number = coded.indices.to_numpy() + np.int32(1)
+    lang = names.indices.to_numpy()[text_of_piece[piece]]
+    keys = np.zeros((WORDS + 1, len(number)), np.int32)
     keys[0], keys[1] = lang, number
     for k in range(1, WORDS):
         keys[k + 1, :-k] = np.where(piece[k:] == piece[:-k], number[k:], EMPTY)
@@ -82,10 +82,11 @@ def _combined(keys: np.ndarray, counts: np.ndarray, n_words: int) -> tuple[np.nd
     if not keys.shape[1]:
         return keys, counts
     if n_words < 1 << 18 and keys[0].max(initial=0) < 1 << 9:
-        one = keys[0]
+        one = keys[0].astype(np.int64)
         for k in keys[1:]:
             one = (one << 18) | k
         order = np.argsort(one, kind="stable")
+        del one
     else:
         order = np.lexsort(keys[::-1])
     keys, counts = keys[:, order], counts[order]
@@ -252,7 +253,7 @@ def _numbered(lists: pa.ChunkedArray, kind: pa.DataType, first):
     chunks = [c.flatten().cast(kind) for c in lists.chunks]
     sizes = np.concatenate([np.diff(c.offsets.to_numpy()) for c in lists.chunks])
     flat = pa.concat_arrays([pa.array([first], kind), *chunks]).dictionary_encode()
-    return (flat.indices.to_numpy().astype(np.int64)[1:], flat.dictionary), np.cumsum(sizes) - sizes
+    return (flat.indices.to_numpy()[1:], flat.dictionary), np.cumsum(sizes) - sizes
 
 
 def count_phrases(docs: DataFrame, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:

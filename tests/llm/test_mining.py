@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -347,3 +349,15 @@ def test_a_pair_survives_the_relief_of_long_lists():
             drop = int(n9.dropped(m))
             kept.append(set(sorted(listed, key=lambda x: second[x])[: len(listed) - drop]))
         assert kept[0] & kept[1]
+
+
+def test_collocations_deal_in_small_blocks():
+    """A task holds a few copies of a block's words, however large its batch of texts is."""
+    r = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in row) for row in r.integers(0, 30_000, (1500, 1000)).tolist()]
+    batch = pa.RecordBatch.from_pydict({"_lang": ["en"] * len(texts), "_text": texts})
+    tracemalloc.start()
+    sent = sum(b.num_rows for b in c13._dealt(16, np.zeros(0, np.uint64))(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sent and peak < 120 << 20, peak >> 20
