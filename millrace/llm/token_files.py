@@ -31,6 +31,9 @@ _NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"
 _SPLITTER = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SAFE = re.compile(r"[\t\n\r -&(-~À-ÖØ-öø-ÿ]*").fullmatch
 _SPLIT = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+# The same for such texts in UTF-8, where bytes from 128 are the lead byte C3 and the letters after it.
+_SMALL = bytes.maketrans(bytes([*range(0x41, 0x5B), *range(0x80, 0x9F)]), bytes([*range(0x61, 0x7B), *range(0xA0, 0xBF)]))
+_KIND = np.array([1 if b >= 128 or chr(b).isalpha() else 2 if chr(b).isdigit() else 3 if 32 < b < 127 else 0 for b in range(256)], np.uint8)
 
 
 def _splits_as_known(described: dict) -> bool:
@@ -73,9 +76,10 @@ class _Words(dict):
 class WordEncoder:
     """Ids by the tokenizers library.
 
-    Where the file has the normaliser and splitter described above, a text of plain letters, digits and
-    punctuation is split by one pattern and its words go to the library's model, each distinct one once.
-    All other texts, and all texts of other files, take the library's whole path."""
+    Where the file has the normaliser and splitter described above, texts of plain letters, digits and
+    punctuation are split together, by the kind of each byte, and their words go to the library's model, each
+    distinct one once. Of other texts each distinct piece between spaces and line ends, which normaliser and
+    splitter never cross, is encoded once; texts of other files take the library's whole path."""
 
     #: Words that a task remembers.
     MEMORY = 250_000
@@ -93,28 +97,61 @@ class WordEncoder:
         return self.known and "<|" not in text and _SAFE(text) is not None
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
+        ids, size = self.encode_flat(pa.array(texts, pa.string()))
+        ends = np.cumsum(size).tolist()
+        return [ids[a:b].tolist() for a, b in zip([0, *ends], ends)]
+
+    def encode_flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
+        import pyarrow.compute as pc
+
+        listed = texts.to_pylist()
+        if not self.known:
+            each = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in listed]
+            return np.fromiter(chain.from_iterable(each), np.int32), np.fromiter(map(len, each), np.int64, len(each))
+        plain = np.fromiter(map(self.plain, listed), bool, len(listed))
+        if plain.all():
+            return self._encode_plain(listed)
+        ids, size = self._encode_plain([t for t, p in zip(listed, plain) if p])
+        cut = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(~plain)), "\n", " "), " ")
+        rest, more = self._joined(cut.flatten(), cut.offsets.to_numpy() - cut.offsets[0].as_py(), self._piece)
+        # back to the order of the texts
+        both = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.append(size, more))), pa.int32()), pa.array(np.append(ids, rest), pa.int32()))
+        order = np.argsort(np.append(np.flatnonzero(plain), np.flatnonzero(~plain)))
+        return both.take(pa.array(order)).flatten().to_numpy(), np.append(size, more)[order]
+
+    def _encode_plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        data = "\n".join([*texts, ""]).encode().translate(_SMALL)
+        raw = np.frombuffer(data, np.uint8)
+        kind = _KIND[raw]
+        # a span is a run of one kind; a digit is one by itself
+        new = np.append(True, (kind[1:] != kind[:-1]) | (kind[1:] == 2)) if len(raw) else np.zeros(0, bool)
+        at = np.flatnonzero(new)
+        spans = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, len(raw)).astype(np.int32)), pa.py_buffer(data)])
+        ends = np.cumsum([len(t.encode()) + 1 for t in texts], dtype=np.int64)
+        # white space has no ids, so it matters not that a run of it may go on in the next text
+        return self._joined(spans, np.append(0, np.searchsorted(at, ends)), self._word)
+
+    def _joined(self, parts: pa.Array, at: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all parts, each distinct one encoded once, and how many there are from each place to the next."""
+        coded = parts.dictionary_encode()
         with no_cycles():
             if len(self.words) > self.MEMORY:
                 self.words.clear()
-            word = self.words.__getitem__
-            out = [list(chain.from_iterable(map(word, _SPLIT(t.lower())))) if self.plain(t) else None for t in texts]
-            rest = [i for i, ids in enumerate(out) if ids is None]
-            for i, ids in zip(rest, self._encode_rest([texts[i] for i in rest])):
-                out[i] = ids
-            return out
-
-    def _encode_rest(self, texts: list[str]) -> list[list[int]]:
-        if not self.known:
-            return [self.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
-        # normaliser and splitter never cross spaces and line ends, so each distinct piece is encoded once
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        ids = dict.fromkeys(chain.from_iterable(cut))
-        for p in ids:
-            if self.plain(p):
-                ids[p] = list(chain.from_iterable(map(self.words.__getitem__, _SPLIT(p.lower()))))
-            else:
-                ids[p] = self.tokenizer.encode(p, add_special_tokens=False).ids
-        return [list(chain.from_iterable(map(ids.__getitem__, parts))) for parts in cut]
+            each = list(map(encode, coded.dictionary.to_pylist()))
+        length = np.fromiter(map(len, each), np.int64, len(each))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(np.fromiter(chain.from_iterable(each), np.int32)))
+        ends = np.append(0, np.cumsum(length[coded.indices.to_numpy()]))
+        return lists.take(coded.indices).flatten().to_numpy(), np.diff(ends[at])
+
+    def _word(self, w: str) -> list[int]:
+        return [] if w.isspace() else self.words[w]
+
+    def _piece(self, p: str) -> list[int]:
+        """The ids of a piece without spaces and line ends."""
+        if self.plain(p):
+            return list(chain.from_iterable(map(self.words.__getitem__, _SPLIT(p.lower()))))
+        return self.tokenizer.encode(p, add_special_tokens=False).ids
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -148,15 +185,13 @@ def write_tokens(
 
         number, before = TaskContext.get().partitionId(), 0
         e = _encoder(tokenizer)
-        last = [] if end_id is None else [end_id]
         for part in pieces(batches, ["_id", "_text"], "_text", 4 << 20):
-            ids = [x + last for x in e.encode_all(part["_text"].to_pylist())]
-            size = np.fromiter(map(len, ids), np.int64, len(ids))
+            ids, size = e.encode_flat(part["_text"])
+            if end_id is not None:
+                ids, size = np.insert(ids, np.cumsum(size), end_id), size + 1
             ends = np.cumsum(size)
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.append(0, ends), pa.int32()), pa.array(np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum())))
-            )
-            columns = {"doc_id": part["_id"], "file_no": np.full(len(ids), number, np.int32)}
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(ids, pa.int32()))
+            columns = {"doc_id": part["_id"], "file_no": np.full(len(size), number, np.int32)}
             columns |= {"first": before + ends - size, "n_tokens": size, "ids": lists}
             yield pa.RecordBatch.from_pydict(columns)
             before += int(size.sum())

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -110,6 +111,20 @@ def test_token_files(spark, odd, rows, nothing, ids_missing):
     assert e.encode_all(many) == [t.encode(x, add_special_tokens=False).ids for x in many]
 
 
+def test_plain_texts_are_split_together():
+    """Plain texts and others, in any order, with spaces and line ends at their ends."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    t, e, r = Tokenizer.from_file(path), token_files.WordEncoder(path), random.Random(5)
+    plain = ["", " ", "a ", "\n b", *["".join(r.choice("aB \t\n\r1.,ÀÿßÞ-_") for _ in range(30)) for _ in range(300)]]
+    other = ["it's", "<|endoftext|>", "É", *["".join(r.choice("a 's1×🙂É\n") for _ in range(30)) for _ in range(300)]]
+    mixed = [*plain, *other]
+    r.shuffle(mixed)
+    for texts in (plain, other, mixed, []):
+        want = [t.encode(x, add_special_tokens=False).ids for x in texts]
+        ids, size = e.encode_flat(pa.array(texts, pa.string()))
+        assert ids.tolist() == [i for x in want for i in x] and size.tolist() == [len(x) for x in want]
+
+
 def test_texts_of_other_tokenizer_files():
     """A file with another splitter takes the library's own path."""
     path = public_tokenizers.path("byte_bpe_50k.json")
