@@ -39,13 +39,22 @@ def bronze(lines: DataFrame, retry_window: str = "10 minutes") -> DataFrame:
     return once.unionByName(rows.where(f"not ({known})"))
 
 
-def silver(payments: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
-    """Payments with both dimensions; a country comparison with NULL stays NULL."""
-    out = stream_enrich(payments, customers, "customer_id", "left", defaults=UNKNOWN)
+def silver(
+    payments: DataFrame, customers: DataFrame, merchants: DataFrame, through: tuple[DataFrame, str] | None = None
+) -> DataFrame:
+    """Payments with both dimensions; a country comparison with NULL stays NULL.
+
+    ``through`` names orders and their key, where only the orders hold the customer: each order, not each
+    payment, is sent to its customer. Payments without an order drop out. Countries are compared before the
+    second join, which need not send them where nothing else asks for them."""
+    if through is None:
+        out = stream_enrich(payments, customers, "customer_id", "left", defaults=UNKNOWN)
+    else:
+        orders, key = through
+        out = payments.join(stream_enrich(orders, customers, "customer_id", "left", defaults=UNKNOWN), key)
+    out = out.withColumn("is_geo_mismatch", F.col("ip_country") != F.col("customer_country"))
     out = stream_enrich(out, merchants, "merchant_id", "left", defaults=UNKNOWN_MERCHANT)
-    return out.withColumns(
-        {"currency": F.upper("currency"), "is_geo_mismatch": F.col("ip_country") != F.col("customer_country")}
-    )
+    return out.select(*[c for c in out.columns if c != "is_geo_mismatch"], "is_geo_mismatch").withColumn("currency", F.upper("currency"))
 
 
 def upsert_merchants(merchants: DataFrame, updates: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Plans that keep shuffles and parsing in proportion to the input, with their results."""
 
+from types import SimpleNamespace
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators.aggregates import collect_chunks
 from millrace.plans import sales as L
 from millrace.plans import star as S
+from millrace.queries.plans import payments_risk_score
 from millrace.sources.rescue import rescue_json
 
 
@@ -56,3 +59,19 @@ def test_a_line_is_parsed_once(spark):
     assert plan(out).count("from_json(") == 1
     assert rows(out) == sorted([("1", None, '{"b":"x"}'), ("1", 2, '{"c":"3"}'), (None, 2, None)], key=repr)
     assert rows(rescue_json(lines, "a string, b int").where("a is null and b is null")) == sorted([(None, None, "{cut"), (None, None, None)], key=repr)
+
+
+def test_lines_of_payment_are_sent_to_their_orders_only(spark, no_small_joins):
+    nation = spark.createDataFrame([(1, "X"), (2, "Y")], "n_nationkey long, n_name string")
+    supplier = spark.createDataFrame([(7, "s7", 1, 9000.0), (8, "s8", 2, 10.0), (None, "s", 1, 1.0)], "s_suppkey long, s_name string, s_nationkey long, s_acctbal double")
+    customer = spark.createDataFrame([(3, "c3", 2, 1.0), (4, "c4", 1, -1.0), (None, "c", 1, 1.0)], "c_custkey long, c_name string, c_nationkey long, c_acctbal double")
+    orders = spark.createDataFrame([(10, 3), (11, 4), (12, None), (12, 3), (None, 3)], "o_orderkey long, o_custkey long")
+    data = [(10, 1, 5, 7, 1.0, 81000.5, 0.1, "A"), (10, 2, 5, 8, 1.0, 99.9, 0.0, "N"), (11, 1, 5, 7, 1.0, None, 0.1, "R"), (12, 1, None, 7, 1.0, 5.0, None, None), (None, 1, 5, 7, 1.0, 5.0, 0.1, "A")]
+    line = spark.createDataFrame(data, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string")
+    line = line.withColumn("l_shipdate", F.to_date(F.lit("2024-01-02")))
+    out = payments_risk_score(SimpleNamespace(nation=nation, supplier=supplier, customer=customer, orders=orders, lineitem=line))
+    text = plan(out)
+    assert "concat_ws" not in text[text.index("Exchange") :]  # texts are made after the last join
+    assert "l_linenumber" not in text[text.index("hashpartitioning(customer_id") :]  # orders are sent to customers, lines are not
+    want = [("10-1-5-7", 90, True), ("10-2-5-8", 0, False), ("11-1-5-7", 55, False), ("12-1-7", 30, False), ("12-1-7", 30, False)]
+    assert rows(out) == sorted(want, key=repr)
