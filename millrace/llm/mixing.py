@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ TARGETS: dict[str, dict[str, float]] = {
 }
 OTHER = "unknown"
 
+#: Up to this many cells, what a round reads is known to be small before it runs.
+FEW_CELLS = 10_000
+
 
 def topic_of(text: Column, topics: Mapping[str, tuple[str, ...]] = TOPICS) -> Column:
     """The topic with the most cues, ``unknown`` without any."""
@@ -142,12 +146,35 @@ def draw(id_col: Column, text: Column, seed: int = 17) -> Column:
     return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / float(1 << 53)
 
 
+@contextmanager
+def _rounds_over(cells: DataFrame):
+    """Plan each round over few cells once, in as many tasks as they have files.
+
+    The rounds are some hundred short jobs. Adaptive execution plans and reports each of them several
+    times, to find a size that is known here; all of that is the driver's work and memory. More cells are
+    left to it.
+    """
+    spark = cells.sparkSession
+    own = {}
+    if cells.count() <= FEW_CELLS:
+        own = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(max(1, len(cells.inputFiles())))}
+    before = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def plan(docs: DataFrame, targets=TARGETS, keep: float = 0.5, topics=TOPICS) -> DataFrame:
     """The calibrated cells of a corpus: one scan with a combined aggregate, then rounds over the cells."""
     at = described(docs, topics)
     keyed = docs.select(*[c.alias(k) for k, c in at.items()])
     cells = pin(keyed.groupBy(*targets).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "cells")
-    return pin(calibrate(rake(cells, targets), keep), "calibrated")
+    with _rounds_over(cells):
+        return pin(calibrate(rake(cells, targets), keep), "calibrated")
 
 
 def sample(docs: DataFrame, cells: DataFrame, dims=tuple(TARGETS), topics=TOPICS, seed: int = 17) -> DataFrame:

@@ -199,6 +199,22 @@ def test_raking_meets_targets(spark):
     assert all(r.weight == pytest.approx(w[r.source, r.lang, r.topic], rel=1e-2) for r in raked)
 
 
+def test_rounds_over_few_cells_are_planned_once(spark, monkeypatch):
+    seen, keep = {}, mixing.pin
+    ask = lambda: (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(mixing, "pin", lambda df, label: seen.setdefault(label, set()).add(ask()) or keep(df, label))
+    before = ask()
+    docs = spark.createDataFrame([(i, "stand strand quest" if i % 3 else "reach church", "en" if i % 2 else "de", f"src{i % 4}") for i in range(24)], "doc_id long, text string, lang string, source string")
+    few = mixing.plan(docs.coalesce(1))
+    assert before == ask() == ("true", "4") and {a for a, _ in seen["raked"]} == {"false"}
+    monkeypatch.setattr(mixing, "FEW_CELLS", 0)
+    seen.clear()
+    many = mixing.plan(docs.coalesce(1))
+    assert seen["raked"] == {before}
+    show = lambda df: sorted((r.source, r.lang, r.topic, r.tokens, round(r.weight, 9), round(r.probability, 9)) for r in df.collect())
+    assert show(few) == show(many) != []
+
+
 def test_mixing_odd_cases(spark, odd, nothing, ids_missing):
     mixed = mixing.sample(odd, mixing.plan(odd))
     assert mixed.count() == odd.count()
