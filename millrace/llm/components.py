@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import pin
+from ..session import pin, planned_once
+
+#: Up to this many links, what a round reads is known to be small before it runs; and links to a task then.
+FEW_LINKS, LINKS_A_TASK = 100_000, 20_000
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -15,8 +20,15 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     the longest path shrinks by a constant factor; it ends when nothing moves.
     Both steps are a combined aggregate and a join that Spark can split at a
     hub. Edges live in the shared folder between rounds; only two numbers a
-    round reach the driver.
+    round reach the driver. Rounds over few links are planned once; more are
+    left to adaptive execution.
     """
+    n = links.count()
+    with planned_once(links.sparkSession, n // LINKS_A_TASK + 2) if n <= FEW_LINKS else nullcontext():
+        return _settled(links, rounds)
+
+
+def _settled(links: DataFrame, rounds: int) -> DataFrame:
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     before = None
     for _ in range(rounds):

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from contextlib import contextmanager
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..session import pin
+from ..session import pin, planned_once
 from .common import text_of, words_of
 
 #: A topic is named by the cue that its text holds most often; ties go to the first name.
@@ -146,26 +146,10 @@ def draw(id_col: Column, text: Column, seed: int = 17) -> Column:
     return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / float(1 << 53)
 
 
-@contextmanager
 def _rounds_over(cells: DataFrame):
-    """Plan each round over few cells once, in as many tasks as they have files.
-
-    The rounds are some hundred short jobs. Adaptive execution plans and reports each of them several
-    times, to find a size that is known here; all of that is the driver's work and memory. More cells are
-    left to it.
-    """
-    spark = cells.sparkSession
-    own = {}
-    if cells.count() <= FEW_CELLS:
-        own = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(max(1, len(cells.inputFiles())))}
-    before = {k: spark.conf.get(k) for k in own}
-    try:
-        for k, v in own.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+    """Plan each of the some hundred rounds over few cells once, in as many tasks as they have files."""
+    few = cells.count() <= FEW_CELLS
+    return planned_once(cells.sparkSession, max(1, len(cells.inputFiles()))) if few else nullcontext()
 
 
 def plan(docs: DataFrame, targets=TARGETS, keep: float = 0.5, topics=TOPICS) -> DataFrame:

@@ -263,8 +263,9 @@ class JaccardJoin:
                 member = self._contracted(member, more)
             if new == 0 or new * PAYS < total:
                 break
-        across = self._across(pin(self._mixed(lists, member), "entries"), "token").distinct()
-        beside = self._across(pin(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "members"), "gid")
+        # two queries: adaptive execution plans all of one again after each of its stages
+        across = pin(self._across(pin(self._mixed(lists, member), "entries"), "token").distinct(), "candidates")
+        beside = pin(self._across(pin(member.join(heads.where("members > 1").select("gid"), "gid", "left_semi"), "members"), "gid"), "candidates")
         rest = self._ordered(across.union(beside)).distinct().join(tried, ["x", "y"], "left_anti")
         return links, pin(self._verified(pin(rest, "candidates"), classes), "links"), member
 
@@ -350,7 +351,8 @@ class JaccardJoin:
         """The pairs whose whole sets are similar enough. Only texts of candidates become sets."""
         size, percent = self.size, self.percent
         wanted = pairs.select(F.col("x").alias("cid")).union(pairs.select(F.col("y").alias("cid"))).distinct()
-        texts = classes.join(wanted, "cid", "left_semi").select(F.col("_id").alias("_rep"), "cid")
+        # written first, so that few of them are known to be few and all texts need not be shuffled to meet them
+        texts = pin(classes.join(wanted, "cid", "left_semi").select(F.col("_id").alias("_rep"), "cid"), "wanted")
         chosen = self.rows.join(texts, F.col("_id").eqNullSafe(F.col("_rep"))).select("cid", "_text")
 
         def sets(batches):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +60,24 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/millrace/{label}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def planned_once(spark: SparkSession, tasks: int):
+    """Plan each query inside once, with ``tasks`` tasks after a shuffle.
+
+    For many short jobs over rows that are known to be few. Adaptive execution plans and reports each of
+    them several times, to find a size that is known here; all of that is the driver's work and memory.
+    """
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(tasks)}
+    before = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def pin(df: DataFrame, label: str = "pinned") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

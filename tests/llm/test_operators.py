@@ -452,6 +452,27 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 102: 100}
 
 
+def test_components_of_few_links_are_planned_once(spark, monkeypatch):
+    import importlib
+
+    module, seen = importlib.import_module("millrace.llm.components"), {}
+    keep = module.pin
+    ask = lambda: (spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(module, "pin", lambda df, label: seen.setdefault(label, set()).add(ask()) or keep(df, label))
+    before = ask()
+    hub = [(7, i) for i in range(8, 40)]
+    links = spark.createDataFrame([*hub, (7, 3), (50, 51), (51, 51), (52, 51), (60, 60)], "a long, b long")
+    few = sorted(map(tuple, components(links).collect()))
+    assert before == ask() == ("true", "4") and {a for a, _ in seen["edges"]} == {"false"}
+    monkeypatch.setattr(module, "FEW_LINKS", 0)
+    seen.clear()
+    assert sorted(map(tuple, components(links).collect())) == few and seen["edges"] == {before}
+    assert few == sorted([(i, 3) for i in [3, *range(7, 40)]] + [(i, 50) for i in (50, 51, 52)])
+    with pytest.raises(RuntimeError):
+        components(links, rounds=1)
+    assert ask() == before
+
+
 def test_substring_dedup(odd, rows, nothing, ids_missing):
     want = {}
     for i, (n, gone, sha) in repeats([(i, re.findall(WORD, t)) for i, t in rows], 50, lambda w: " ".join(w).encode()).items():
