@@ -24,6 +24,10 @@ CHOICES = LENGTH - ANCHOR + 1
 CONTEXT = LENGTH + CHOICES - 1
 #: Bytes of text handled at once; a longer text is cut into segments that overlap by LENGTH - 1.
 CHUNK = 1 << 20
+#: Contexts held with their bytes at once, and suffixes sorted at once. Those of one name, and of one name and one
+#: distance to its anchor, stay together.
+RECORDS = 1 << 16
+SUFFIXES = 1 << 16
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -97,43 +101,74 @@ def _pack(records: np.ndarray) -> bytes:
     return pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def _unpack(block: bytes, n: int) -> np.ndarray:
+def _unpack(block: bytes | pa.Buffer, n: int, low: int = 0, high: int = (1 << 64) - 1) -> np.ndarray:
+    """Of ``n`` packed records, sorted by name, those with a name from ``low`` to ``high``."""
     raw, at = pa.decompress(block, n * RECORD.itemsize, codec="zstd", asbytes=True), 0
-    records = np.empty(n, RECORD)
+    names = np.frombuffer(raw, RECORD["name"], n)
+    a, b = np.searchsorted(names, np.uint64(low)), np.searchsorted(names, np.uint64(high), side="right")
+    records = np.empty(b - a, RECORD)
     for f in RECORD.names:
         kind = RECORD[f]
-        records[f] = np.frombuffer(raw, kind, n, at)
+        records[f] = np.frombuffer(raw, kind, n, at)[a:b]
         at += n * kind.itemsize
     return records
 
 
-def _contexts(t: pa.Table, answers: pa.Table, parts: int) -> np.ndarray:
-    """The records of a bucket whose anchors occur in two documents, sorted by name."""
-    names, rows = _names(t)
-    unique, _, _, place = distinct(names, rows)
-    is_shared = read_bits(answers, unique, parts)[place]
-    ids = t.column("_id").to_numpy()
-    out, used = [np.zeros(0, RECORD)], 0
+#: Where a context stands, without its bytes.
+PLACE = np.dtype([(f, RECORD[f]) for f in ("name", "anchor", "length", "row", "start")])
+
+
+def _places(t: pa.Table, answers: pa.Table, parts: int) -> np.ndarray:
+    """Where a bucket's contexts are whose anchors occur in two documents, sorted by name."""
+    out = [np.zeros(0, PLACE)]
     for raw, at, row, begin in _segments(t):
         name, start, count, anchor, text = anchors(raw, at)
-        use = np.flatnonzero(is_shared[used : used + len(name)])
-        used += len(name)
-        if len(use) == 0:
-            continue
-        name, start, count, anchor, text = name[use], start[use], count[use], anchor[use], text[use]
-        r = np.zeros(len(use), RECORD)
-        length = count + LENGTH - 1
-        padded = np.append(raw + np.uint8(1), np.zeros(CONTEXT, np.uint8))
-        grid = padded[start[:, None] + np.arange(CONTEXT)]
-        grid[np.arange(CONTEXT) >= length[:, None]] = 0
-        r["bytes"] = np.ascontiguousarray(grid).view(f"S{CONTEXT}")[:, 0]
-        r["name"], r["anchor"], r["length"], r["row"] = name, anchor - start, length, row[text]
-        r["start"], r["id"] = begin[text] + start - at[text], ids[row[text]]
-        out.append(r)
+        p = np.empty(len(name), PLACE)
+        p["name"], p["anchor"], p["length"], p["row"] = name, anchor - start, count + LENGTH - 1, row[text]
+        p["start"] = begin[text] + start - at[text]
+        out.append(p)
     found = np.concatenate(out)
+    del out
+    unique, _, _, place = distinct(np.ascontiguousarray(found["name"]), found["row"])
+    found = found[read_bits(answers, unique, parts)[place]]
     return found[np.argsort(found["name"], kind="stable")]
 
 
+def _runs(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
+    """Neighbours together, up to ``most`` in all, one at least: first, and behind the last."""
+    ends, out, a = np.cumsum(sizes), [], 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        out.append((a, b))
+        a = b
+    return out
+
+
+def _context_runs(t: pa.Table, answers: pa.Table, parts: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """The records of a bucket whose anchors occur in two documents, sorted by name, for some parts at a time: the
+    first part, the one behind the last, and the records."""
+    found = _places(t, answers, parts)
+    ids = t.column("_id").to_numpy()
+    raw, begin = joined_bytes([x.encode() for x in t.column("_text").to_pylist()])
+    raw = np.append(raw + np.uint8(1), np.zeros(CONTEXT, np.uint8))
+    windows = np.lib.stride_tricks.sliding_window_view(raw, CONTEXT)
+    at = cuts(np.ascontiguousarray(found["name"]), parts)
+    for a, b in _runs(np.diff(at), RECORDS):
+        p = found[at[a] : at[b]]
+        r = np.empty(len(p), RECORD)
+        for f in PLACE.names:
+            r[f] = p[f]
+        grid = windows[begin[p["row"]] + p["start"]]
+        grid[np.arange(CONTEXT, dtype=np.uint16) >= p["length"][:, None]] = 0
+        r["bytes"], r["id"] = grid.view(f"S{CONTEXT}")[:, 0], ids[p["row"]]
+        yield a, b, r
+
+
+def _contexts(t: pa.Table, answers: pa.Table, parts: int) -> np.ndarray:
+    """All records of a bucket at once."""
+    return np.concatenate([np.zeros(0, RECORD), *(r for _, _, r in _context_runs(t, answers, parts))])
+
+
 def combined(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each distinct context of a bucket once, as the record of its first row, which has its least id.
 
@@ -205,77 +240,89 @@ def intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
     return nodes
 
 
-def repeat_groups(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-    """Maximal repeats among the distinct contexts of each anchor.
+def _suffixes(name: np.ndarray, anchor: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The suffixes that start the strings of contexts, sorted by name: the context of each and its place there.
+
+    They come some names at a time; a name with many comes by the distance to its anchor, since only suffixes of
+    one distance are alike."""
+    new = np.flatnonzero(np.append(True, name[1:] != name[:-1])) if len(name) else np.zeros(0, np.int64)
+    edges = np.append(new, len(name))
+    for a, b in _runs(np.add.reduceat(count, new) if len(new) else new, SUFFIXES):
+        n = count[edges[a] : edges[b]]
+        owner = np.repeat(np.arange(edges[a], edges[b]), n)
+        offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+        if len(owner) <= SUFFIXES:
+            yield owner, offset
+            continue
+        before = anchor[owner] - offset
+        order = np.argsort(before, kind="stable")
+        ends = np.append(np.flatnonzero(np.diff(before[order])) + 1, len(order))
+        for c, d in _runs(np.diff(ends, prepend=0), SUFFIXES):
+            some = order[(ends[c - 1] if c else 0) : ends[d - 1]]
+            yield owner[some], offset[some]
 
-    Returns, of the sorted suffixes, the distinct context each comes from and its place there; the
-    distinct contexts' first records (``records`` must be sorted by name, anchor, bytes, id); and the
+
+def repeat_groups(d: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]]:
+    """Maximal repeats among the distinct contexts ``d`` of each anchor, sorted by name.
+
+    Yields, some anchors at a time, of the sorted suffixes the context each comes from and its place there; and the
     left-diverse nodes (depth, first, last suffix). A node whose suffixes all stand behind one and the
     same byte is a part of the node one byte longer, and is not listed.
     """
-    n = len(records)
-    new = np.ones(n, bool)
-    for f in ("name", "anchor", "bytes"):
-        new[1:] &= True
-    new[1:] = (records["name"][1:] != records["name"][:-1]) | (records["anchor"][1:] != records["anchor"][:-1]) | (records["bytes"][1:] != records["bytes"][:-1])
-    first = np.flatnonzero(new)
-    d = records[first]
-    group = np.ones(len(d), bool)
-    group[1:] = d["name"][1:] != d["name"][:-1]
+    group = np.append(True, d["name"][1:] != d["name"][:-1])[: len(d)]
     several = np.diff(np.append(np.flatnonzero(group), len(d)))
-    lone = np.repeat(several, several) == 1
-    use = np.flatnonzero(~lone)
-    count = d["length"][use].astype(np.int64) - LENGTH + 1
-    owner = np.repeat(use, count)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
-    if len(owner) == 0:
-        return owner, offset, first, []
-    text = np.zeros((len(d), 2 * CONTEXT), np.uint8)
-    text[:, :CONTEXT] = np.ascontiguousarray(d["bytes"]).view(np.uint8).reshape(len(d), CONTEXT)
-    suffix = text[owner[:, None], offset[:, None] + np.arange(CONTEXT)]
-    key = np.zeros(len(owner), np.dtype([("name", "<u8"), ("before", "<u2"), ("text", f"S{CONTEXT}")]))
-    key["name"], key["before"] = d["name"][owner], (d["anchor"][owner].astype(np.int64) - offset)
-    key["text"] = np.ascontiguousarray(suffix).view(f"S{CONTEXT}")[:, 0]
-    order = np.lexsort((key["text"], key["before"], key["name"]))
-    owner, offset, suffix = owner[order], offset[order], suffix[order]
-    k = key[order]
-    together = (k["name"][1:] == k["name"][:-1]) & (k["before"][1:] == k["before"][:-1])
-    differs = (suffix[1:] != suffix[:-1]) | (suffix[1:] == 0)
-    lcp = np.zeros(len(owner), np.int64)
-    lcp[1:] = np.where(together, np.where(differs.any(1), differs.argmax(1), CONTEXT), 0)
-    left = np.where(offset > 0, text[owner, offset - 1], 0)
-    # how many neighbours differ in the byte before them; a context's first string counts as different
-    change = np.append(0, np.cumsum(np.append(False, (left[1:] != left[:-1])) | (left == 0)))
-    nodes = [(depth, a, b) for depth, a, b in intervals(lcp, LENGTH) if left[a] == 0 or change[b + 1] > change[a + 1]]
-    return owner, offset, first, nodes
+    use = np.flatnonzero(np.repeat(several, several) > 1)
+    names, anchor = d["name"][use], d["anchor"][use].astype(np.int64)
+    for owner, offset in _suffixes(names, anchor, d["length"][use].astype(np.int64) - LENGTH + 1):
+        low, high = owner.min(), owner.max() + 1
+        text = np.zeros((high - low, 2 * CONTEXT), np.uint8)
+        text[:, :CONTEXT] = np.ascontiguousarray(d["bytes"][use[low:high]]).view(np.uint8).reshape(-1, CONTEXT)
+        at = (owner - low) * text.shape[1] + offset
+        suffix = np.lib.stride_tricks.sliding_window_view(text.ravel(), CONTEXT)[at]
+        name, before = names[owner], anchor[owner] - offset
+        order = np.lexsort((suffix.view(f"S{CONTEXT}")[:, 0], before, name))
+        owner, offset, suffix, name, before, at = owner[order], offset[order], suffix[order], name[order], before[order], at[order]
+        together = (name[1:] == name[:-1]) & (before[1:] == before[:-1])
+        differs = (suffix[1:] != suffix[:-1]) | (suffix[1:] == 0)
+        lcp = np.zeros(len(owner), np.int64)
+        lcp[1:] = np.where(together, np.where(differs.any(1), differs.argmax(1), CONTEXT), 0)
+        left = np.where(offset > 0, text.ravel()[at - (offset > 0)], 0)
+        # how many neighbours differ in the byte before them; a context's first string counts as different
+        change = np.append(0, np.cumsum(np.append(False, (left[1:] != left[:-1])) | (left == 0)))
+        nodes = [(depth, a, b) for depth, a, b in intervals(lcp, LENGTH) if left[a] == 0 or change[b + 1] > change[a + 1]]
+        yield use[owner], offset, nodes
 
 
 def repeated_spans(records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each record, the spans whose bytes occur in a document with a smaller id: record, start in its context, length."""
     order = np.lexsort((records["id"], records["bytes"], records["anchor"], records["name"]))
     records = records[order]
-    owner, offset, first, nodes = repeat_groups(records)
-    if len(first) == 0:
+    if len(records) == 0:
         none = np.zeros(0, np.int64)
         return none, none, none
-    size = np.diff(np.append(first, len(records)))
-    context = np.repeat(np.arange(len(first)), size)
+    new = np.append(True, (records["name"][1:] != records["name"][:-1]) | (records["anchor"][1:] != records["anchor"][:-1]) | (records["bytes"][1:] != records["bytes"][:-1]))
+    first = np.flatnonzero(new)
+    context = np.cumsum(new) - 1
     least = records["id"][first]
     # an equal context in an earlier document covers the whole of a later one
-    later = np.flatnonzero(records["id"] > least[context])
-    best = np.zeros(len(owner), np.int64)
-    ids = least[owner]
-    for depth, a, b in nodes:
-        own = ids[a : b + 1]
-        if (lowest := own.min()) < own.max():
-            np.maximum(best[a : b + 1], np.where(own > lowest, depth, 0), out=best[a : b + 1])
-    hit = np.flatnonzero(best)
+    is_later = records["id"] > least[context]
+    later = np.flatnonzero(is_later)
     # of a context, only the records of its least id still need the spans inside of it
-    heads = np.searchsorted(np.where(records["id"] == least[context], 0, 1) + 2 * context, 2 * owner[hit] + 1) - first[owner[hit]]
-    member = np.repeat(first[owner[hit]], heads) + np.arange(heads.sum()) - np.repeat(np.cumsum(heads) - heads, heads)
-    where = np.concatenate([np.zeros(len(later), np.int64), np.repeat(offset[hit], heads)])
-    length = np.concatenate([records["length"][later].astype(np.int64), np.repeat(best[hit], heads)])
-    return order[np.concatenate([later, member])], where, length
+    heads = np.add.reduceat(~is_later, first, dtype=np.int64)
+    found, where, length = [later], [np.zeros(len(later), np.int64)], [records["length"][later].astype(np.int64)]
+    for owner, offset, nodes in repeat_groups(records[first]):
+        best = np.zeros(len(owner), np.int64)
+        ids = least[owner]
+        for depth, a, b in nodes:
+            own = ids[a : b + 1]
+            if (lowest := own.min()) < own.max():
+                np.maximum(best[a : b + 1], np.where(own > lowest, depth, 0), out=best[a : b + 1])
+        hit = np.flatnonzero(best)
+        n = heads[owner[hit]]
+        found.append(np.repeat(first[owner[hit]], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        where.append(np.repeat(offset[hit], n))
+        length.append(np.repeat(best[hit], n))
+    return order[np.concatenate(found)], np.concatenate(where), np.concatenate(length)
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
@@ -306,31 +353,50 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if t.num_rows == 0:
             return _NOTHING.empty_table()
         t = ordered(t)
-        r, spans, alike = combined(_contexts(t, o, n))
-        at = cuts(r["name"].astype(np.uint64), n)
-        some = np.flatnonzero(at[1:] > at[:-1])
-        blocks = [_pack(r[at[i] : at[i + 1]]) for i in some.tolist()]
-        sizes = np.diff(at)[some]
+        some, sizes, blocks, own = [], [], [], ([], [])
+        for a, b, r in _context_runs(t, o, n):
+            r, *settled = combined(r)
+            at = cuts(r["name"].astype(np.uint64), n)
+            for part in range(a, b):
+                if at[part + 1] > at[part]:
+                    some.append(part)
+                    sizes.append(at[part + 1] - at[part])
+                    blocks.append(_pack(r[at[part] : at[part + 1]]))
+            for x, y in zip(own, settled):
+                x.append(y)
+        spans, alike = (np.concatenate(x) for x in own)
         if len(spans) or len(alike):
             # what the bucket settles on its own passes by all parts
-            some, sizes = np.append(some, n + bucket_of(t)), np.append(sizes, len(spans))
+            some.append(n + bucket_of(t))
+            sizes.append(len(spans))
             blocks.append(spans.tobytes() + alike.tobytes())
         numbers = [some, np.full(len(some), bucket_of(t)), sizes]
         return pa.table([*[pa.array(x, pa.int32()) for x in numbers], pa.array(blocks, pa.binary())], schema=_NOTHING)
 
     def meet(t: pa.Table) -> pa.Table:
-        if t.column("_part")[0].as_py() >= n:
+        part = t.column("_part")[0].as_py()
+        if part >= n:
             return pa.table([t.column("_b"), t.column("_n"), t.column("_block")], names=["_b", "_n", "_spans"])
-        each = [_unpack(b, n) for b, n in zip(t.column("_block").to_pylist(), t.column("_n").to_pylist())]
-        bucket = np.repeat(t.column("_b").to_numpy(), [len(e) for e in each])
-        r = np.concatenate(each)
-        del each
-        at, start, length = repeated_spans(r)
-        spans = np.zeros(len(at), SPAN)
-        spans["row"], spans["start"], spans["length"] = r["row"][at], r["start"][at] + start, length
-        order = np.argsort(bucket[at], kind="stable")
-        to, begins = np.unique(bucket[at][order], return_index=True)
-        ends = np.append(begins[1:], len(at))
+        sent = [(x.as_buffer(), size) for x, size in zip(t.column("_block"), t.column("_n").to_pylist())]
+        numbers, low, high = t.column("_b").to_numpy(), (part << 64) // n, ((part + 1) << 64) // n
+        # the blocks stay packed: some of their names are unpacked at a time
+        rounds = -(-sum(size for _, size in sent) // RECORDS)
+        buckets, out = [], []
+        for i in range(rounds):
+            edges = [low + (high - low) * k // rounds for k in (i, i + 1)]
+            each = [_unpack(x, size, edges[0], edges[1] - 1) for x, size in sent]
+            bucket = np.repeat(numbers, [len(e) for e in each])
+            r = np.concatenate(each)
+            del each
+            at, start, length = repeated_spans(r)
+            spans = np.zeros(len(at), SPAN)
+            spans["row"], spans["start"], spans["length"] = r["row"][at], r["start"][at] + start, length
+            buckets.append(bucket[at])
+            out.append(spans)
+        bucket, spans = np.concatenate(buckets), np.concatenate(out)
+        order = np.argsort(bucket, kind="stable")
+        to, begins = np.unique(bucket[order], return_index=True)
+        ends = np.append(begins[1:], len(bucket))
         blocks = [spans[order[a:b]].tobytes() for a, b in zip(begins.tolist(), ends.tolist())]
         return pa.table([pa.array(to, pa.int32()), pa.array(ends - begins, pa.int32()), pa.array(blocks, pa.binary())], names=["_b", "_n", "_spans"])
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -282,6 +283,45 @@ def test_suffix_dedup_of_a_hot_text(spark, monkeypatch):
         assert (row.n_bytes, row.n_removed, row.kept_sha256) == (n, len(gone), sha)
 
 
+def test_suffixes_of_a_part_are_sorted_some_at_a_time(monkeypatch):
+    """Two texts alike but for a byte here and there: the memory does not follow the number of suffixes."""
+    monkeypatch.setattr(suffix_dedup, "read_bits", lambda answers, names, parts: np.ones(len(names), bool))
+    r = random.Random(11)
+    a = "".join(r.choice("abcdefgh ") for _ in range(150_000))
+    b = list(a)
+    for i in range(0, len(b), 90):
+        b[i + r.randrange(90) if i + 90 < len(b) else i] = "#"
+    texts = [a, "".join(b)]
+    t = suffix_dedup.ordered(pa.table({"_id": [0, 1], "_no_id": [False] * 2, "_text": texts}))
+    records = suffix_dedup._contexts(t, None, 1)
+    tracemalloc.start()
+    at, start, length = suffix_dedup.repeated_spans(records)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 80 << 20
+    assert set(records["row"][at].tolist()) == {1}
+    gone = set()
+    for begin, n in zip((records["start"][at] + start).tolist(), length.tolist()):
+        gone.update(range(begin, begin + n))
+    assert gone == repeats([(i, x.encode()) for i, x in enumerate(texts)], 50, bytes)[1][1] and len(gone) > 20_000
+    # names with more suffixes than that come by the distance to their anchor
+    monkeypatch.setattr(suffix_dedup, "SUFFIXES", 20)
+    again = suffix_dedup.repeated_spans(records)
+    assert sorted(zip(*(x.tolist() for x in again))) == sorted(zip(at.tolist(), start.tolist(), length.tolist()))
+
+
+def test_a_part_is_unpacked_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "buckets_for", lambda n: 3)
+    monkeypatch.setattr(suffix_dedup, "RECORDS", 10)
+    r = random.Random(12)
+    say = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passages = [say(r.randrange(40, 200)) for _ in range(12)]
+    data = [(i, "".join(r.choice(passages) + say(9) for _ in range(6))) for i in range(30)]
+    want = repeats([(i, t.encode()) for i, t in data], 50, bytes)
+    for row in suffix_dedup.remove_repeats(spark.createDataFrame(data, "doc_id long, text string")).collect():
+        assert (row.n_removed, row.kept_sha256) == (len(want[row.doc_id][1]), want[row.doc_id][2])
+
+
 def test_long_texts_are_cut_into_segments(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CHUNK", 128)
     r = random.Random(4)
