@@ -21,6 +21,15 @@ def remove(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
+def empty(spark: SparkSession, folder: str) -> None:
+    """Remove what a folder holds and keep the folder: one that is being listed may lose files, but must not vanish.
+    A folder that is not there is no error."""
+    path, files = _at(spark, folder)
+    if files.exists(path):
+        for status in files.listStatus(path):
+            files.delete(status.getPath(), True)
+
+
 def make(spark: SparkSession, folder: str) -> None:
     path, files = _at(spark, folder)
     files.mkdirs(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.windows import top_n
-from ..sources.storage import make, move
+from ..sources.storage import empty, make, move, remove
 
 MODES = ("append", "update", "complete")
 
@@ -21,6 +21,10 @@ BYTES_PER_STATE = 64 * 1024 * 1024
 #: Input, as stored, that one time slice of a replay should hold.
 BYTES_PER_SLICE = 128 * 1024 * 1024
 _SLICE = "_slice"
+#: Lines of text staged by one task for so many slices are written without being sorted first.
+OPEN_FILES = 64
+#: How they are written: one task reads a compressed file.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 200_000}
 
 
 def checkpoint_path(root: str, name: str) -> str:
@@ -68,14 +72,28 @@ def state_partitions(spark: SparkSession, path: str) -> int:
 
 
 @contextmanager
-def sized_state(spark: SparkSession, partitions: int):
-    """Streams started inside keep their state in that many partitions."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+def _settings(spark: SparkSession, own: dict[str, str]):
+    before = {k: spark.conf.get(k) for k in own}
     try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def sized_state(spark: SparkSession, partitions: int):
+    """Streams started inside keep their state in that many partitions."""
+    return _settings(spark, {"spark.sql.shuffle.partitions": str(partitions)})
+
+
+def little_left(spark: SparkSession):
+    """Queries inside remove their shuffle files when they end; streams started inside can resume from their last
+    batches only, and drop the state of earlier ones."""
+    # changes of the state can go when a snapshot holds them
+    state = {"spark.sql.streaming.minBatchesToRetain": "2", "spark.sql.streaming.stateStore.minDeltasForSnapshot": "2"}
+    return _settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", **state})
 
 
 def check_mode(mode: str, aggregated: bool, watermarked: bool) -> None:
@@ -126,16 +144,27 @@ def replay_append(
     the slice before it is done.  Rows come in order, so none is late, and the
     state holds one slice and what the watermark keeps, not whole tables.
     Rows without a time come first.  ``form="text"`` streams the column
-    ``value`` as lines.
+    ``value`` as lines, which are staged compressed.  A slice that is done is
+    removed, and so is what the joins of ``tables`` shuffled: only the result stays.
     """
     spark = tables[0][0].sparkSession
+    with little_left(spark):
+        return _replayed(spark, tables, build, root, slices, form)
+
+
+def _replayed(spark, tables, build, root, slices, form):
     micros = [F.unix_micros(F.col(time).cast("timestamp")) for _, time in tables]
     edges = _edges([df.select(m.alias("_t")) for (df, _), m in zip(tables, micros)], slices)
     streams = []
     for i, ((df, _), at) in enumerate(zip(tables, micros)):
         number = F.coalesce(reduce(lambda a, b: a + b, [(at >= e).cast("int") for e in edges], F.lit(0)), F.lit(0))
         rows = df.select("value") if form == "text" else df
-        df.select(*rows.columns, number.alias(_SLICE)).write.partitionBy(_SLICE).format(form).save(f"{root}/staged-{i}")
+        writer = df.select(*rows.columns, number.alias(_SLICE)).write.partitionBy(_SLICE).format(form)
+        if form == "text":
+            with _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)}):
+                writer.options(**PACKED).save(f"{root}/staged-{i}")
+        else:
+            writer.save(f"{root}/staged-{i}")
         make(spark, f"{root}/in-{i}")
         reader = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True)
         streams.append(reader.format(form).load(f"{root}/in-{i}"))
@@ -147,8 +176,13 @@ def replay_append(
             for i in range(len(tables)):
                 move(spark, f"{root}/staged-{i}/{_SLICE}={n}", f"{root}/in-{i}/{_SLICE}={n}")
             query.processAllAvailable()
+            for i in range(len(tables)):
+                empty(spark, f"{root}/in-{i}/{_SLICE}={n}")
     finally:
         query.stop()
+    for i in range(len(tables)):
+        remove(spark, f"{root}/in-{i}")
+        remove(spark, f"{root}/staged-{i}")
     return spark.read.schema(out.schema).parquet(f"{root}/table"), query
 
 

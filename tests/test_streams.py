@@ -157,6 +157,23 @@ def test_replayed_outer_join_matches_one_batch(spark):
     assert held[1] < held[0] / 2
 
 
+def test_replay_stages_little_and_leaves_only_its_result(spark, tmp_path):
+    lines = spread_events(spark).select(F.to_json(F.struct("id", "user", "ts")).alias("value"), "ts")
+    kept = ["spark.sql.streaming.minBatchesToRetain", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    before, inside, staged = [spark.conf.get(k) for k in kept], [], []
+
+    def build(stream):
+        inside.extend(spark.conf.get(k) for k in kept)
+        staged.extend(tmp_path.rglob("t/staged-0/*/part-*"))
+        return stream
+
+    table, _ = R.replay_append([(lines, "ts")], build, str(tmp_path / "t"), 4, "text")
+    assert staged and all(p.suffix == ".gz" for p in staged)
+    assert inside == ["2", "true"] and [spark.conf.get(k) for k in kept] == before
+    assert not list(tmp_path.rglob("t/staged-0/*/part-*")) and not list(tmp_path.rglob("t/in-0/*/part-*"))
+    assert rows(table) == rows(lines.select("value")) and table.count() == 401
+
+
 def test_replay_of_an_empty_table(spark):
     empty = spread_events(spark).where("id < 0")
     for slices in (1, 4):
